@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltmill.ship import ship
 
@@ -42,3 +43,16 @@ def prepare(df: DataFrame) -> SparkSession:
 def parts_for(spark: SparkSession, n_bytes: float, each: float = 32e6) -> int:
     """Shuffle partitions for so many bytes: the session's number or more."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n_bytes / each) + 1)
+
+
+def repeats(docs: DataFrame) -> bool:
+    """Whether ids repeat or are null, so that a doc_id alone doesn't tell rows apart. Reads the id column only."""
+    n = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("m"), F.countDistinct("doc_id").alias("d")).first()
+    return not n["n"] == n["m"] == n["d"]
+
+
+def once(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The documents with one row of each doc_id and text, and whether a doc_id may still repeat. Nothing moves if ids are unique."""
+    if not repeats(docs):
+        return docs, False
+    return docs.dropDuplicates(["doc_id", "text"]), True

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, table, written
+from siltmill.llm.common import prepare, repeats, table, written
 from siltmill.llm.graph import components, in_groups
 
 SHINGLE, BANDS, ROWS, BLOCK, PIVOTS = 5, 24, 5, 256, 8
@@ -215,7 +215,7 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     chosen = nodes.join(cluster, "node").select(F.col("first_id").alias("__id"), "node", "cluster")
     texts = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("__id"), "text").join(chosen, "__id").select("node", "cluster", "text")
     sets = texts.mapInArrow(_shingled(k), "cluster binary, node binary, shingles binary")
-    sets = written(sets.dropDuplicates(["node"]) if _repeats(docs) else sets, "sets")
+    sets = written(sets.dropDuplicates(["node"]) if repeats(docs) else sets, "sets")
     sizes = sets.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block))
     sets = sets.join(sizes.select("cluster", "blocks"), "cluster")
     dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
@@ -250,12 +250,6 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     return label.join(over, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
 
 
-def _repeats(docs: DataFrame) -> bool:
-    """A node's text is found by its document's id; where ids repeat or are null, more than one row may bring it."""
-    n = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("m"), F.countDistinct("doc_id").alias("d")).first()
-    return not n["n"] == n["m"] == n["d"]
-
-
 def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id, kept. Sets are linked with 100 * both >= percent * either."""
     prepare(docs)
@@ -274,7 +268,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The documents without those that a component has another document kept for; one row of each id and text stays."""
     found = near_duplicates(docs, **options).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti").dropDuplicates(["doc_id", "text"]) if _repeats(docs) else docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+    left = docs.join(found, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return left.dropDuplicates(["doc_id", "text"]) if repeats(docs) else left
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from siltmill.llm import decontaminate, neardup
+from siltmill.llm import decontaminate, licenses, neardup, quality, substring
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
+    "op2_substring_dedup": substring.query,
+    "op3_license_scan": licenses.query,
     "op4_near_duplicates": neardup.query,
+    "op7_quality": quality.query,
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op2_substring_dedup": substring.ORACLE,
+    "op3_license_scan": licenses.ORACLE,
 }
