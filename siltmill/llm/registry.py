@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from siltmill.llm import decontaminate, licenses, neardup, quality, substring
+from siltmill.llm import decontaminate, licenses, neardup, packing, quality, substring, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
     "op2_substring_dedup": substring.query,
     "op3_license_scan": licenses.query,
     "op4_near_duplicates": neardup.query,
+    "op5_pack": packing.query,
     "op7_quality": quality.query,
+    "op9_token_files": token_files.query,
 }
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
