@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltmill.llm import decontaminate, licenses, neardup, packing, quality, substring, token_files
+from siltmill.llm import decontaminate, langid, licenses, neardup, packing, quality, substring, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_near_duplicates": neardup.query,
     "op5_pack": packing.query,
     "op7_quality": quality.query,
+    "op10_language_id": langid.query,
     "op9_token_files": token_files.query,
 }
 ORACLES = {
