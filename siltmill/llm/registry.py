@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltmill.llm import decontaminate, langid, licenses, neardup, packing, quality, substring, token_files
+from siltmill.llm import ann, decontaminate, langid, licenses, neardup, packing, quality, substring, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_license_scan": licenses.query,
     "op4_near_duplicates": neardup.query,
     "op5_pack": packing.query,
+    "op6_nearest": ann.query,
     "op7_quality": quality.query,
     "op10_language_id": langid.query,
     "op9_token_files": token_files.query,
