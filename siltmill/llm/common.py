@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,13 @@ def once(docs: DataFrame) -> tuple[DataFrame, bool]:
     if not repeats(docs):
         return docs, False
     return docs.dropDuplicates(["doc_id", "text"]), True
+
+
+def with_texts(batch: pa.RecordBatch, texts: list[str | None], changed: list[bool]) -> pa.RecordBatch:
+    """The batch with other texts; n_chars, where there is one, follows a changed text."""
+    k = batch.schema.get_field_index("text")
+    batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
+    if (k := batch.schema.get_field_index("n_chars")) >= 0:
+        n = [len(t or "") if c else old for t, c, old in zip(texts, changed, batch.column(k).to_pylist(), strict=True)]
+        batch = batch.set_column(k, batch.schema.field(k), pa.array(n, batch.schema.field(k).type))
+    return batch

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, table
+from siltmill.llm.common import prepare, table, with_texts
 
 SPAN, K = 13, 9
 _HITS = "doc_id long, text_key long, n_words long, starts array<int>, ends array<int>, items array<string>"
@@ -267,8 +267,7 @@ def _cut(held, share: int):
                         parts.append(raw[at : x.start[s] - lo])
                         at = int(x.end[e - 1] - lo)
                     out[i + r] = b"".join([*parts, raw[at:]]).decode("utf-8", "replace")
-            batch = batch.set_column(batch.schema.get_field_index("text"), pa.field("text", pa.string()), pa.array(out, pa.string()))
-            yield batch.filter(pa.array(keep))
+            yield with_texts(batch, out, [a is not b for a, b in zip(out, texts, strict=True)]).filter(pa.array(keep))
 
     return cut
 
@@ -281,7 +280,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int
         return docs.mapInArrow(_cut(spark.sparkContext.broadcast(Index(blocks[0], span, k)), share), docs.schema)
     # what is hit must be known over all blocks before a share can be judged
     spans = find_spans(docs, benchmark, span, k, block_bytes, only_hits=True)
-    b = spans.withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "n_words": "__n", "starts": "__s", "ends": "__e"}).drop("items")
+    b = spans.withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "n_words": "__n", "starts": "__starts", "ends": "__ends"}).drop("items")
     keyed = docs.join(b, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left").drop("__id", "__key")
     return keyed.mapInArrow(_cut_known(share, docs.columns), docs.schema)
 
@@ -290,7 +289,7 @@ def _cut_known(share: int, columns: list[str]):
     def cut(batches):
         for batch in batches:
             out, keep = batch.column("text").to_pylist(), [True] * batch.num_rows
-            for r, (n, starts, ends) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("__n", "__s", "__e")), strict=True)):
+            for r, (n, starts, ends) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("__n", "__starts", "__ends")), strict=True)):
                 if not starts:
                     continue
                 if share * sum(e - s for s, e in zip(starts, ends, strict=True)) >= n:
@@ -302,9 +301,7 @@ def _cut_known(share: int, columns: list[str]):
                     parts.append(raw[at : x.start[s]])
                     at = int(x.end[e - 1])
                 out[r] = b"".join([*parts, raw[at:]]).decode("utf-8", "replace")
-            batch = batch.select(columns)
-            batch = batch.set_column(batch.schema.get_field_index("text"), pa.field("text", pa.string()), pa.array(out, pa.string()))
-            yield batch.filter(pa.array(keep))
+            yield with_texts(batch.select(columns), out, [bool(x) for x in batch.column("__starts").to_pylist()]).filter(pa.array(keep))
 
     return cut
 

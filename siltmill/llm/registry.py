@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltmill.llm import ann, decontaminate, langid, licenses, neardup, packing, quality, substring, token_files
+from siltmill.llm import ann, decontaminate, langid, licenses, neardup, packing, quality, substring, suffix_tree, token_files
 
 QUERIES = {
     "op1_decontaminate": decontaminate.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_pack": packing.query,
     "op6_nearest": ann.query,
     "op7_quality": quality.query,
+    "op8_suffix_tree": suffix_tree.query,
     "op10_language_id": langid.query,
     "op9_token_files": token_files.query,
 }

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import once, prepare, table
+from siltmill.llm.common import once, prepare, table, with_texts
 
 MIN_WORDS = 8
 _STOP = np.isin(np.arange(256), [ord(c) for c in ".!?"])
@@ -119,12 +119,7 @@ def _removed(min_words: int, names: list[str], text_out: bool):
                         keep[r] = bool(out[r].strip())
                 rows.append(spans)
             if text_out:
-                b = batch.select(names)
-                b = b.set_column(b.schema.get_field_index("text"), pa.field("text", pa.string()), pa.array(out, pa.string()))
-                if "n_chars" in names:
-                    k = b.schema.get_field_index("n_chars")
-                    n = [len(t) if s and t is not None else old for t, s, old in zip(out, rows, b.column("n_chars").to_pylist(), strict=True)]
-                    b = b.set_column(k, b.schema.field(k), pa.array(n, b.schema.field(k).type))
+                b = with_texts(batch.select(names), out, [bool(x) for x in rows])
                 yield b.filter(pa.array(keep))
             else:
                 ids = batch.column("doc_id").to_pylist()
