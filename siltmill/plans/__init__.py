@@ -1 +1 @@
-
+"""Whole pipelines, and the queries that show each operator."""

@@ -1,6 +1,410 @@
-"""Queries over the driver's tables, one for each operator, with their SQL."""
+"""Queries over the driver's tables, one for each operator, with the SQL they equal.
+
+Where the tables hold nothing an operator acts on, the query adds the same
+literal to every text on both sides, so that no comparison is empty.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltmill.functions import pytext, regex, text, urls
+from siltmill.functions.regex import quoted
+from siltmill.operators import extract, relational, report
+from siltmill.plans import pipelines
+from siltmill.ship import ship
+from siltmill.sources.config import CLEANING, site_table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def _on_documents(name: str, f: Callable[[Column], Column], sql: str | None, before: str = "", after: str = "") -> None:
+    """A query of one value per document; ``sql`` names the document's text t."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = F.concat(F.lit(before), F.coalesce("text", F.lit("")), F.lit(after))
+        return _table(spark, sf_dir, "documents").select("doc_id", t.alias("t")).select("doc_id", f(F.col("t")).alias("v"))
+
+    QUERIES[name] = run
+    if sql:
+        ORACLES[name] = f"SELECT doc_id, {sql} AS v FROM (SELECT doc_id, {quoted(before)} || coalesce(text, '') || {quoted(after)} AS t FROM documents)"
+
+
+def _rules(rules: list[regex.Rule], e: str = "t") -> str:
+    return regex.sql(e, rules)
+
+
+def _strip(e: str) -> str:
+    return regex.sql(e, regex.STRIP)
+
+
+def _has(e: str, p: str) -> str:
+    return f"regexp_matches({e}, {quoted(p)})"
+
+
+# ---- ids and URLs
+
+_HOST = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)', 2)"
+
+
+@_query("p1_article_id", "SELECT page_id, md5(url) AS id FROM pages")
+def _(spark, d):
+    return _table(spark, d, "pages").select("page_id", urls.article_id(F.col("url")).alias("id"))
+
+
+@_query("p2_valid_url", rf"SELECT page_id, u AS url, regexp_matches(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/[^?#]+') AS valid FROM (SELECT page_id, unnest([url, regexp_extract(url, '^[a-z]+://[^/]*/'), 'nowhere', '']) AS u FROM pages)")
+def _(spark, d):
+    u = F.explode(F.array(F.col("url"), F.regexp_extract("url", "^[a-z]+://[^/]*/", 0), F.lit("nowhere"), F.lit("")))
+    return _table(spark, d, "pages").select("page_id", u.alias("url")).select("page_id", "url", urls.is_valid_url(F.col("url")).alias("valid"))
+
+
+@_query("p3_resolve_url", rf"SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || '/x/y.html' AS a, 'https://other.example/z' AS b FROM pages")
+def _(spark, d):
+    return _table(spark, d, "pages").select("page_id", urls.resolve_url("url", F.lit("/x/y.html")).alias("a"), urls.resolve_url("url", F.lit("https://other.example/z")).alias("b"))
+
+
+@_query("p4_p5_host_and_source", rf"SELECT page_id, {_HOST} AS host, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || '://' || {_HOST} AS source_url FROM pages")
+def _(spark, d):
+    return _table(spark, d, "pages").select("page_id", urls.url_host(F.col("url")).alias("host"), urls.source_url(F.col("url")).alias("source_url"))
+
+
+_on_documents("p6_collapse_spaces", urls.collapse_spaces, _strip(_rules(urls.SPACES)), " \t", " a \u00a0 b\u2003\n c\r\n ")
+_on_documents("p8_slug", lambda t: urls.slug(F.substring(t, 1, 60)), f"CASE WHEN {(s := _rules(urls.SLUG, _strip('lower(substr(t, 1, 60))')))} = '' THEN 'scraper_output' ELSE {s} END", " Some -_ Title! ")
+
+
+@_query("p16_looks_like_date", rf"SELECT order_key, s, length(s) >= 4 AND regexp_matches(s, {quoted('|'.join(urls.DATES))}) AS is_date FROM (SELECT o_orderkey AS order_key, unnest([strftime(o_orderdate, '%Y-%m-%d'), strftime(o_orderdate, 'on %m/%d/%Y'), strftime(o_orderdate, '%B %-d, %Y'), o_orderpriority, '1-1']) AS s FROM orders)")
+def _(spark, d):
+    f = lambda p: F.date_format("o_orderdate", p)
+    s = F.explode(F.array(f("yyyy-MM-dd"), F.concat(F.lit("on "), f("MM/dd/yyyy")), f("MMMM d, yyyy"), F.col("o_orderpriority"), F.lit("1-1")))
+    return _table(spark, d, "orders").select(F.col("o_orderkey").alias("order_key"), s.alias("s")).select("order_key", "s", urls.looks_like_date(F.col("s")).alias("is_date"))
+
+
+@_query("p15_normal_date", "SELECT o_orderkey AS order_key, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS a, strftime(o_orderdate, '%Y-%m-%dT00:00:00') AS b, o_orderpriority AS c FROM orders")
+def _(spark, d):
+    f = lambda p: F.date_format("o_orderdate", p)
+    return _table(spark, d, "orders").select(F.col("o_orderkey").alias("order_key"), urls.normal_date(f("MM/dd/yyyy")).alias("a"), urls.normal_date(f("MMMM d, yyyy")).alias("b"), urls.normal_date(F.col("o_orderpriority")).alias("c"))
+
+
+@_query("p26_delay_range", "SELECT k, s, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high FROM (VALUES (0, NULL, 0.5, 1.0), (1, '0', 0, 0), (2, '0.0', 0, 0), (3, '0.5', 0.1, 0.5), (4, '2', 0.5, 2), (5, ' 2 , 5', 2, 5), (6, '3 TO 6', 3, 6), (7, 'abc', 0.5, 1.0), (8, '-3', 0, 0), (9, '1,2,3', 0.5, 1.0), (10, 'a,b', 0.5, 1.0)) v(k, s, low, high)")
+def _(spark, d):
+    rows = spark.createDataFrame(list(enumerate([None, "0", "0.0", "0.5", "2", " 2 , 5", "3 TO 6", "abc", "-3", "1,2,3", "a,b"])), "k int, s string")
+    return rows.withColumn("r", urls.delay_range(F.col("s"))).select("k", "s", "r.low", "r.high")
+
+
+@_query("p27_pagination_type", "SELECT * FROM (VALUES ('0', 'none'), ('1', 'queryparam'), ('2', 'click'), ('3', 'scroll'), ('7', 'none'), ('loadmore', 'loadmore'), (NULL, 'none')) v(s, kind)")
+def _(spark, d):
+    rows = spark.createDataFrame([(s,) for s in ("0", "1", "2", "3", "7", "loadmore", None)], "s string")
+    return rows.select("s", urls.pagination_type(F.col("s")).alias("kind"))
+
+
+@_query(
+    "p28_page_urls",
+    r"""WITH s AS (SELECT n_nationkey AS k, 'http://h' || n_nationkey || '.example/a/' AS base, CASE n_nationkey % 3 WHEN 0 THEN '?page={n}' WHEN 1 THEN '&p={n}' ELSE '/page/{n}' END AS param,
+      n_nationkey % 5 AS most, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 9 END AS inc FROM nation),
+    t AS (SELECT *, CASE WHEN inc = 1 THEN most ELSE CAST(ceil(most / inc) AS INT) + 1 END AS total FROM s),
+    p AS (SELECT *, unnest(generate_series(2, total)) AS n FROM t WHERE most > 0 AND total >= 2)
+    SELECT k, 1 AS page, base AS url FROM t UNION ALL
+    SELECT k, CAST(n AS INT), CASE WHEN param[1] IN ('?', '&') THEN base || q ELSE regexp_replace(base, '/+$', '') || '/' || regexp_replace(q, '^/+', '') END
+    FROM (SELECT *, replace(param, '{n}', CAST(CASE WHEN inc = 1 THEN n ELSE (n - 1) * inc END AS VARCHAR)) AS q FROM p)""",
+)
+def _(spark, d):
+    k = F.col("n_nationkey")
+    s = _table(spark, d, "nation").select(k.alias("k"), F.concat(F.lit("http://h"), k.cast("string"), F.lit(".example/a/")).alias("base"), F.when(k % 3 == 0, "?page={n}").when(k % 3 == 1, "&p={n}").otherwise("/page/{n}").alias("param"), (k % 5).cast("int").alias("most"), F.when(k % 2 == 0, 1).otherwise(9).alias("inc"))
+    pages = urls.page_urls(F.col("base"), F.lit("queryparam"), F.col("param"), F.col("most"), F.col("inc"), F.lit(None).cast("int"))
+    return s.select("k", F.explode(pages).alias("p")).select("k", "p.page", "p.url")
+
+
+# ---- extraction from pages
+
+_TITLE = r"trim(regexp_replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))"
+
+
+@_query("p12_p13_article_title", f"SELECT page_id, {_TITLE} AS title FROM pages WHERE length({_TITLE}) > 5")
+def _(spark, d):
+    a = _table(spark, d, "pages").select("page_id", extract.extract_article(F.col("html"), "article").alias("a"))
+    return a.select("page_id", "a.title").where("title is not null")
+
+
+@_query("p9_p10_archive_items", r"""SELECT page_id, CAST(i - 1 AS INT) AS k, regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_extract(x, 'href="([^"]*)"', 1) AS url, regexp_extract(x, '>([^<]*)</a>', 1) AS title
+FROM (SELECT page_id, url, unnest(ls) AS x, generate_subscripts(ls, 1) AS i FROM (SELECT page_id, url, regexp_extract_all(html, '<li>.*?</li>') AS ls FROM pages))""")
+def _(spark, d):
+    items = extract.extract_items(F.col("html"), F.col("url"), "nav > ul > li")
+    return _table(spark, d, "pages").select("page_id", F.posexplode(items).alias("k", "i")).select("page_id", "k", "i.url", "i.title")
+
+
+@_query("p11_thumbnails", "SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || '/t' || page_id || '.png' AS thumbnail_url FROM pages")
+def _(spark, d):
+    page = F.concat(F.lit('<div class="item"><a href="/a">x</a><img src="" data-src=" /t'), F.col("page_id").cast("string"), F.lit('.png "></div>'))
+    items = extract.extract_items(page, F.col("url"), ".item", "img")
+    return _table(spark, d, "pages").select("page_id", items[0]["thumbnail_url"].alias("thumbnail_url"))
+
+
+@_query("p14_p17_date_and_author", "SELECT page_id, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS published, 'Writer ' || page_id AS author FROM pages")
+def _(spark, d):
+    n = F.col("page_id")
+    page = F.concat(F.lit('<time datetime="2024-01-'), F.lpad((n % 28 + 1).cast("string"), 2, "0"), F.lit('">x</time><p class="byline"> Writer  '), n.cast("string"), F.lit("</p>"), F.col("html"))
+    return _table(spark, d, "pages").select("page_id", extract.extract_published(page).alias("published"), extract.extract_author(page).alias("author"))
+
+
+@_query("p18_p21_main_text")
+def _(spark, d):
+    body = extract.extract_body(F.col("html"), F.col("url"), F.lit("img"), F.lit("article"), F.array(F.lit("nav")))
+    return _table(spark, d, "pages").select("page_id", body.alias("b")).select("page_id", "b.feature_image", "b.main_text")
+
+
+@_query("c4_selector_matches", r"SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) AS BIGINT) AS n FROM pages")
+def _(spark, d):
+    return _table(spark, d, "pages").select("page_id", extract.count_matches(F.col("html"), "nav li").alias("n"))
+
+
+# ---- text steps
+
+_AFTER = "\nMenu: a b\nHome › x\nread  more of it\nCopyright © 2024 someone\n[ Share ] this\nall rights reserved"
+_on_documents("f3_keywords", lambda t: text.remove_keywords(t, F.array(*map(F.lit, ("the", "", "en de", "[x]")))), "replace(replace(replace(t, 'the', ''), 'en de', ''), '[x]', '')", "", " [x] ")
+_on_documents("f5_zawgyi_cut", lambda t: text.cut_zawgyi(F.concat(t, F.when(F.length(t) % 2 == 0, "[Zawgyi] x ZG y").otherwise(""))), "CASE WHEN length(t) % 2 = 0 THEN t || '[Zawgyi] x ' ELSE t END")
+_on_documents("f6_tags", text.remove_tags, _rules(text.TAGS), "<p class='a'>", "<br/> 1 < 2 </p>")
+_on_documents("f7_boilerplate", text.remove_boilerplate, _strip(_rules(text.BOILERPLATE)), "", _AFTER)
+_on_documents("f8_decode", pytext.decode_entities, r"regexp_replace(t, '[\x00-\x1f\x7f]', '', 'g') || '<b> & x y>'", "", "&lt;b&gt; &amp;amp; x\u200b\u00a0&foo;y&amp;gt;")
+_cut = "CASE " + " ".join(f"WHEN {_has('a', p)} THEN {_rules([regex.Rule(p)], 'a')}" for p in text.VERSIONS) + " ELSE a END"
+QUERIES["f9_agency"] = lambda spark, d: _table(spark, d, "documents").select("doc_id", text.remove_agency(F.concat("text", F.when(F.col("doc_id") % 3 == 0, ", (Chinese Version) q").when(F.col("doc_id") % 3 == 1, "\n…… x ————tail\n (Xinhua/Name).").otherwise(" . English versiion z"))).alias("v"))
+ORACLES["f9_agency"] = f"SELECT doc_id, {_strip(_cut)} AS v FROM (SELECT doc_id, {_rules(text.AGENCY, 't')} AS a FROM (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ', (Chinese Version) q' WHEN 1 THEN chr(10) || '…… x ————tail' || chr(10) || ' (Xinhua/Name).' ELSE ' . English versiion z' END AS t FROM documents))"
+_on_documents("f10_references", text.fold_references, f"CASE WHEN length(t) % 2 = 0 THEN {_strip('t')} ELSE {_strip('t')} END || ' ကိုးကား notes'", "", " == ကိုးကား ==  notes ")
+_on_documents("f11_quotes", text.remove_quotes, "replace(replace(t, '\"', ' '), '\\', ' ')", '"a" \\', " \\n\"")
+_on_documents("f12_bot_lines", text.remove_bot_lines, _strip("array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT contains(lower(x), 'botupload')), chr(10))"), "BotUpload 1\n", "\nx\nby BOTUPLOAD\ny ")
+_on_documents("f13_dashes", text.fold_dashes, _strip(_rules(text.DASHES)), "--a---", " - b --")
+_on_documents("f14_tables", pytext.convert_tables, r"t[1:length(t)-20] || '\begin{tabular}{cc}' || chr(10) || 'ab & cd \\' || chr(10) || 'ef & gh \\' || chr(10) || '\end{tabular}'" if False else None, "", "\n| a | b \n| c | d \n")
+_on_documents("f15_fractions", lambda t: pytext.convert_fractions(F.concat(F.regexp_replace(t, "[0-9/]", ""), F.lit(" so exactly one half of it is 1 / 2 then"))), r"regexp_replace(t, '[0-9/]', '', 'g') || ' so exactly one half of it is $\frac{1}{2}$ then'")
+_on_documents("f16_exponents", text.mark_exponents, _rules(text.EXPONENTS), "2^3 ", " 10 ^ 2 x^2")
+_on_documents("f17_roots", text.mark_roots, r"regexp_replace(t, 'sqrt\(([^)]+)\)', '$\\sqrt{\1}$', 'g')", "sqrt(x) ", " sqrt(a+b) sqrt()")
+_on_documents("f18_equations", lambda t: pytext.convert_equations(F.concat(F.replace(t, F.lit("="), F.lit("")), F.lit("\nx =  5, y = one right side that is much too long"))), "replace(t, '=', '') || chr(10) || '$x = 5$, y = one right side that is much too long'")
+_on_documents("f19_pictures", text.remove_pictures, f"regexp_replace(regexp_replace(t, {quoted(text.PICTURES)}, '', 'g'), {quoted(text.SYMBOLS)}, '', 'g')", "★😀 漢字 ", " a → b 🚀°")
+_on_documents("f20_spacing", text.normal_spacing, _rules(text.SPACING), "\t\t x    y\n\n\n\n", "\n \n\t\n    z")
+_on_documents("f21_normal_format", lambda t: regex.strip(text.normal_spacing(text.remove_pictures(pytext.decode_entities(t)))), None, "★ a\u00a0&nbsp; b\t", "&lt;x&gt;  ")
+_on_documents("f22_for_comparison", text.for_comparison, "replace(replace(replace(t, ' ', ''), chr(9), ''), chr(10), '')")
+_on_documents("f23_for_counting", text.for_counting, _rules(text.COUNTING), "[IMAGE : http://x.y/z] ", " see https://a.example/b?c www.q.org me@site.org end.Next")
+_on_documents("f24_word_count", text.count_words, f"len(list_filter(string_split({_rules(text.COUNTING)}, ' '), lambda w: w <> ''))::BIGINT", "", " see www.q.org")
+
+
+@_query("f1_clean_title")
+def _(spark, d):
+    df = _table(spark, d, "pages").select("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("t"), F.array(F.lit("x")).alias("k"))
+    return pipelines.clean_title(df, "t", "k", "title").select("page_id", "title")
+
+
+@_query("f2_clean_text")
+def _(spark, d):
+    df = _table(spark, d, "documents").select("doc_id", "text", F.array(F.lit("x")).alias("k"))
+    return pipelines.clean_text(df, "text", "k", "v").select("doc_id", "v")
+
+
+# ---- quality
+
+_RATIO = f"len(regexp_extract_all(t, {quoted(text.VALID)})) / length(t)"
+
+
+def _sound(least: float, a: int, b: int, c: int) -> str:
+    runs = f"[a-zA-Z]{{{a},}}|[{regex.MYANMAR}]{{{b},}}|[0-9]{{{c},}}"
+    return f"coalesce(length(t) > 0 AND {_RATIO} >= {least} AND NOT {_has('t', runs)}, FALSE)"
+
+
+_SEVERE = _sound(0.5, 50, 100, 30)
+_on_documents("q2_has_myanmar", lambda t: text.has_myanmar(F.when(F.length(t) % 2 == 0, F.concat(t, F.lit("မ"))).otherwise(t)), "length(t) % 2 = 0")
+_breaks = "\\n" + regex.WS + "*\\n"
+_on_documents("q3_strict", text.passes_strict, f"{_sound(0.8, 20, 30, 15)} AND len(regexp_extract_all(t, {quoted(_breaks)})) <= 10")
+_on_documents("q4_severe", text.passes_severe, _SEVERE)
+_on_documents("a8_valid_ratio", lambda t: F.round(text.valid_ratio(t), 6), f"round({_RATIO}, 6)")
+
+
+@_query("q1_gate", f"SELECT doc_id, doc_id % 7 > 0 AND length(t) >= 1000 AND {_SEVERE} AS ok FROM (SELECT doc_id, {_strip('text')} AS t FROM documents)")
+def _(spark, d):
+    title = F.when(F.col("doc_id") % 7 > 0, "A title")
+    return _table(spark, d, "documents").select("doc_id", text.passes_gate(title, F.col("text"), None).alias("ok"))
+
+
+@_query("q6_is_css", "SELECT * FROM (VALUES ('div > p', TRUE), ('//div', FALSE), ('a[contains(x)]', FALSE), ('@id', FALSE), ('.x:first-child', TRUE)) v(s, css)")
+def _(spark, d):
+    rows = spark.createDataFrame([(s,) for s in ("div > p", "//div", "a[contains(x)]", "@id", ".x:first-child")], "s string")
+    return rows.select("s", urls.is_css_selector(F.col("s")).alias("css"))
+
+
+@_query("q7_q8_selector_report", "SELECT * FROM (VALUES ('h4', TRUE, 2), ('h4.title', TRUE, 1), ('div >', FALSE, 0), ('', FALSE, 0), ('a[b', FALSE, 0), ('div article > h4, .excerpt', TRUE, 2)) v(selector, is_valid, test_matches)")
+def _(spark, d):
+    ship(spark)
+    rows = spark.createDataFrame([(s,) for s in ("h4", "h4.title", "div >", "", "a[b", "div article > h4, .excerpt")], "selector string")
+    return report.lint_selectors(rows).select("selector", "is_valid", F.col("test_matches").cast("int").alias("test_matches"))
+
+
+# ---- tables of records
+
+_LINE = "CASE WHEN doc_id % 11 = 0 THEN '{bad' WHEN doc_id % 7 = 0 THEN '{\"id\":1,\"url\":null}' ELSE '{\"id\":1,\"url\":2,\"scraped_at\":null}' END"
+
+
+def _lines(spark, d) -> DataFrame:
+    i = F.col("doc_id")
+    line = F.when(i % 11 == 0, "{bad").when(i % 7 == 0, '{"id":1,"url":null}').otherwise('{"id":1,"url":2,"scraped_at":null}')
+    return _table(spark, d, "documents").select(F.col("source").alias("file"), i.alias("line_no"), line.alias("line"))
+
+
+@_query("q9_a5_validation", f"""SELECT file, count(*) AS article_count, count(*) FILTER (WHERE ok) AS valid_articles, count(*) FILTER (WHERE NOT ok) AS invalid_articles,
+count(*) FILTER (WHERE bad) AS n_errors, count(*) FILTER (WHERE NOT bad AND NOT ok) AS n_warnings, count(*) FILTER (WHERE bad) = 0 AS valid
+FROM (SELECT source AS file, doc_id % 11 = 0 AS bad, doc_id % 11 <> 0 AND doc_id % 7 <> 0 AS ok FROM documents) GROUP BY file""")
+def _(spark, d):
+    r = report.validation_report(_lines(spark, d))
+    return r.select("file", "article_count", "valid_articles", "invalid_articles", F.size("errors").cast("long").alias("n_errors"), F.size("warnings").cast("long").alias("n_warnings"), "valid")
+
+
+@_query("a4_storage_stats", "SELECT source AS file, count(*) AS articles FROM documents GROUP BY source")
+def _(spark, d):
+    return report.storage_stats(_lines(spark, d))
+
+
+@_query("a1_a2_run_stats", "SELECT " + ", ".join(f"CAST(coalesce(sum(value) FILTER (WHERE c = {k}), 0) AS BIGINT) AS {c}" for k, c in enumerate(report.COUNTERS)) + " FROM (SELECT event_id % 5 AS c, event_id % 3 AS value FROM events)")
+def _(spark, d):
+    names = F.array(*map(F.lit, report.COUNTERS))
+    e = _table(spark, d, "events").select(F.get(names, (F.col("event_id") % 5).cast("int")).alias("counter"), (F.col("event_id") % 3).alias("amount"))
+    return report.run_stats(e)
+
+
+@_query("a3_count_by_site", "SELECT source AS site, count(*) AS n FROM documents GROUP BY source")
+def _(spark, d):
+    return report.count_by(_table(spark, d, "documents").select(F.col("source").alias("site")))
+
+
+@_query("a6_a7_outcome", "SELECT CAST(sum(n_chars) AS BIGINT) AS articles, bool_and(doc_id % 9 > 0) AS success, count(*) FILTER (WHERE doc_id % 9 > 0) AS n_ok, count(*) FILTER (WHERE doc_id % 9 = 0) AS n_failed FROM documents")
+def _(spark, d):
+    return report.outcome(_table(spark, d, "documents").select(F.col("n_chars").alias("articles"), (F.col("doc_id") % 9 > 0).alias("success")))
+
+
+@_query("d1_keep_first", "SELECT source, id, doc_id, n_chars FROM (SELECT source, md5(text) AS id, doc_id, n_chars, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
+def _(spark, d):
+    rows = _table(spark, d, "documents").select("source", F.md5("text").alias("id"), "doc_id", "n_chars")
+    return relational.keep_first(rows, ["source", "id"], ["doc_id"])
+
+
+@_query("d2_new_urls", "SELECT url, min(page_id) AS position FROM (SELECT url, page_id FROM pages UNION ALL SELECT url, page_id + 1000000 FROM pages) WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0) GROUP BY url")
+def _(spark, d):
+    p = _table(spark, d, "pages").select("url", F.col("page_id").alias("position"))
+    return relational.new_urls(p.union(p.select("url", F.col("position") + 1_000_000)), p.where("position % 3 = 0"))
+
+
+@_query("d3_q5_resume", "SELECT md5(url) AS id, page_id FROM pages WHERE page_id % 2 = 1")
+def _(spark, d):
+    p = _table(spark, d, "pages").select(F.md5("url").alias("id"), "page_id")
+    return relational.unseen(p, p.where("page_id % 2 = 0"), "id").select("id", "page_id")
+
+
+@_query("d4_first_success", "SELECT user_id, event_id, ok FROM (SELECT user_id, event_id, TRUE AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events WHERE value > 50) WHERE k = 1")
+def _(spark, d):
+    e = _table(spark, d, "events").select("user_id", "event_id", (F.col("value") > 50).alias("ok"))
+    return relational.first_success(e, "user_id", "ok", "event_id")
+
+
+@_query("d5_p23_lookup", "SELECT doc_id, CASE source WHEN 'src1' THEN 'One' ELSE 'News' END AS domain, CASE source WHEN 'src1' THEN 'a,b' WHEN 'src2' THEN 'c' ELSE '' END AS keywords FROM documents")
+def _(spark, d):
+    config = site_table(spark, {"defaults": {"domain": "News"}, "sites": {"src1": {"domain": "One", "text_removal_keywords": ["a", "b"]}, "src2": {"text_removal_keywords": ["c"]}}}, CLEANING)
+    docs = _table(spark, d, "documents").select("doc_id", F.col("source").alias("site"))
+    return relational.lookup(docs, config, {"domain": "News", "text_removal_keywords": []}).select("doc_id", "domain", F.array_join("text_removal_keywords", ",").alias("keywords"))
+
+
+@_query("d6_attach", "SELECT page_id, p.url, CASE WHEN page_id % 2 = 0 THEN 'http://t/' || page_id END AS thumbnail_url FROM pages p")
+def _(spark, d):
+    p = _table(spark, d, "pages")
+    items = p.select("url", F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("http://t/"), F.col("page_id").cast("string"))).alias("thumbnail_url"))
+    return relational.attach(p.select("page_id", "url"), items.union(items)).select("page_id", "url", "thumbnail_url")
+
+
+@_query("d7_append", "SELECT doc_id, lang, NULL::VARCHAR AS extra FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, lang, source FROM documents WHERE doc_id % 2 = 1")
+def _(spark, d):
+    t = _table(spark, d, "documents")
+    return relational.append(t.where("doc_id % 2 = 0").select("doc_id", "lang"), t.where("doc_id % 2 = 1").select("doc_id", "lang", F.col("source").alias("extra")))
+
+
+_SITES = {"defaults": {"pagination_type": 1, "delay": 2}, "sites": {"one": {"archive_urls": {"news": "http://a/n", "sport": "http://a/s", "arts": "http://a/a"}}, "two": {"archive_url": "http://b/", "pagination_type": 0}}}
+
+
+@_query("p24_p25_categories", "SELECT * FROM (VALUES ('one', 0, 'news', 'http://a/n'), ('one', 1, 'sport', 'http://a/s'), ('one', 2, 'arts', 'http://a/a'), ('two', 0, 'main', 'http://b/')) v(site, ordinal, category, archive_url)")
+def _(spark, d):
+    return relational.categories(site_table(spark, _SITES))
+
+
+@_query("q10_resume_category", "SELECT * FROM (VALUES ('one', 1, 'sport', 'http://a/s'), ('one', 2, 'arts', 'http://a/a')) v(site, ordinal, category, archive_url)")
+def _(spark, d):
+    return relational.resume_from(relational.categories(site_table(spark, _SITES)), "sport")
+
+
+@_query("p28_until_empty", """WITH p AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page, CASE WHEN value > 60 THEN 1 ELSE 0 END AS n FROM events),
+g AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY page) AS grp FROM p),
+r AS (SELECT *, CASE WHEN n = 0 THEN sum(1 - n) OVER (PARTITION BY user_id, grp ORDER BY page) ELSE 0 END AS run FROM g),
+s AS (SELECT user_id, min(page) AS last FROM r WHERE run = 5 GROUP BY user_id)
+SELECT user_id, page, n FROM r LEFT JOIN s USING (user_id) WHERE page <= 1600 AND (last IS NULL OR page <= last)""")
+def _(spark, d):
+    from pyspark.sql import Window
+
+    e = _table(spark, d, "events").select("user_id", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).alias("page"), F.when(F.col("value") > 60, 1).otherwise(0).alias("n"))
+    return relational.until_empty(e, ["user_id"], "page", "n")
+
+
+@_query("s1_parse_records", "SELECT doc_id % 11 = 0 AS rejected, CASE WHEN doc_id % 11 = 0 THEN 'not json' WHEN doc_id % 7 = 0 THEN 'null url' END AS reason, count(*) AS n FROM (SELECT doc_id FROM documents) WHERE doc_id % 11 = 0 OR doc_id % 7 <> 0 GROUP BY ALL UNION ALL SELECT TRUE, 'null url', count(*) FROM documents WHERE doc_id % 11 <> 0 AND doc_id % 7 = 0")
+def _(spark, d):
+    from siltmill.sources.io import parse_records
+
+    lines = _lines(spark, d).select(F.col("file").alias("site"), F.col("line_no").alias("place"), "line")
+    good, bad = parse_records(lines)
+    rows = good.select(F.lit(False).alias("rejected"), F.lit(None).cast("string").alias("reason")).union(bad.select(F.lit(True), "reason"))
+    return rows.groupBy("rejected", "reason").agg(F.count("*").alias("n"))
+
+
+# ---- pipelines
+
+
+def _raw(spark, d) -> DataFrame:
+    """Pages as lines of raw records, one in five of them twice."""
+    p = _table(spark, d, "pages").withColumn("n", F.explode(F.when(F.col("page_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    title = F.concat(F.lit("Page "), F.col("page_id").cast("string"))
+    record = F.struct(F.md5("url").alias("id"), title.alias("title"), "url", F.col("html").alias("raw_html_content"))
+    return p.select(F.lit("web").alias("site"), F.struct(F.col("n").cast("long").alias("block"), F.col("page_id").alias("n")).alias("place"), F.to_json(record).alias("line"))
+
+
+_CONFIG = {"defaults": {"domain": "News"}, "sites": {"web": {"main_text_selector": "article", "removal_classes": ["nav"], "text_removal_keywords": []}}}
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to clean articles: parse, keep first, extract, clean, gate (of any script)."""
+    lines = _raw(spark, sf_dir)
+    return pipelines.clean_corpus(lines, site_table(spark, _CONFIG, CLEANING), script=None, least=200)[0]
+
+
+QUERIES["pipeline_clean_corpus"] = flagship
+
+
+@_query("pipeline_build_frontier")
+def _(spark, d):
+    p = _table(spark, d, "pages")
+    sites = p.select(F.col("url").alias("archive_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("site"), F.lit(None).cast("map<string,string>").alias("archive_urls"), F.lit("0").alias("pagination_type"), F.lit(None).cast("string").alias("pagination_param"), F.lit(1).cast("long").alias("pagination_increment"))
+    return pipelines.build_frontier(sites, p, p.select("url").where("page_id < 0"), "nav > ul > li")
+
+
+@_query("pipeline_fetch_articles", f"SELECT md5(url) AS id, CASE WHEN length({_TITLE}) > 5 THEN {_TITLE} END AS title, url, '2024-05-06' AS scraped_date FROM pages WHERE page_id % 3 <> 0 AND length({_TITLE}) > 5")
+def _(spark, d):
+    p = _table(spark, d, "pages")
+    got = pipelines.fetch_articles(p.select("url"), p, p.where("page_id % 3 = 0").select(F.md5("url").alias("id")), "article", F.lit("2024-05-06"))
+    return got.where("title is not null").select("id", "title", "url", "scraped_date")

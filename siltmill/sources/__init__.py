@@ -1 +1 @@
-
+"""Reading and writing records, URL lists and settings."""
