@@ -21,8 +21,8 @@ import numpy as np
 
 MEMO = 400_000
 _GROUP = 48
-_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]")
-_MARKS = re.compile("[̀-ͯ]")
+_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_MARKS = re.compile("[\u0300-\u036f]")
 _CHUNK = re.compile("[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 
 
