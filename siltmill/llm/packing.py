@@ -198,16 +198,15 @@ class Places:
 def _pieces(path: str, length: int, end: int):
     def pieces(batches):
         enc = encoder(WordEnds, path)
-        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
-            texts, ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for i in range(0, batch.num_rows, 500):
-                for doc, raw in zip(ids[i : i + 500], enc(texts.slice(i, 500).to_pylist()), strict=True):
-                    raw += last
-                    for k, at in enumerate(range(0, len(raw), 4 * length)):
-                        part = raw[at : at + 4 * length]
-                        for c, v in zip(cols, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+            ids = batch.column("doc_id").to_pylist()
+            for i, found in enc(batch.column("text")):
+                for doc, own in zip(ids[i : i + len(found)], found, strict=True):
+                    own = np.append(own, np.uint32(end)).astype("<u4")
+                    for k, at in enumerate(range(0, len(own), length)):
+                        part = own[at : at + length]
+                        for c, v in zip(cols, (doc, k, at, len(part), zlib.crc32(part.tobytes())), strict=True):
                             c.append(v)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])

@@ -74,16 +74,15 @@ def _tokenise(path: str, end: int, bounds: list[int]):
         kind = "<u2" if max(enc.size - 1, end) < 1 << 16 else "<u4"
         cuts = np.array(bounds, np.int64)
         for batch in batches:
-            texts = batch.column("text")
             ids = batch.column("doc_id").fill_null(-(2**63)).to_numpy()
-            for i in range(0, batch.num_rows, 500):
+            for i, found in enc(batch.column("text")):
                 out, crc = [], []
-                for raw in enc(texts.slice(i, 500).to_pylist()):
-                    a = np.append(np.frombuffer(raw, "<u4"), np.uint32(end)).astype("<u4")
+                for own in found:
+                    a = np.append(own, np.uint32(end)).astype("<u4")
                     crc.append(zlib.crc32(a.tobytes()))
                     out.append(a.astype(kind).tobytes())
-                shard = np.searchsorted(cuts, ids[i : i + 500], "right")
-                cols = [pa.array(shard, pa.int64()), batch.column("doc_id").slice(i, 500), pa.array(crc, pa.int64()), pa.array(out, pa.binary())]
+                shard = np.searchsorted(cuts, ids[i : i + len(out)], "right")
+                cols = [pa.array(shard, pa.int64()), batch.column("doc_id").slice(i, len(out)), pa.array(crc, pa.int64()), pa.array(out, pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["shard", "doc_id", "crc", "ids"])
 
     return tokenise
