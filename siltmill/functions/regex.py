@@ -74,3 +74,20 @@ def strip(col: Column) -> Column:
 def let(col: Column, body) -> Column:
     """body(x) with x bound to the column's value, so that it is computed once however often body names it."""
     return F.transform(F.array(col), body)[0]
+
+
+def fold(text: Column) -> Column:
+    """Lower case for a look at which words occur: also of the two letters that only case folding maps to ASCII."""
+    return F.translate(F.lower(text), "\u017f\u212a", "sk")
+
+
+def where_found(col: Column, words: list[str], rules: list[Rule]) -> Column:
+    """``apply`` for texts that hold one of the (lower-case) words; a plain search is far cheaper than a pattern that can't match."""
+
+    def body(t: Column) -> Column:
+        low, found = fold(t), F.lit(False)
+        for w in words:
+            found = found | F.contains(low, F.lit(w))
+        return F.when(found, apply(t, rules)).otherwise(t)
+
+    return let(col, body)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltmill.functions.regex import DIGIT, MYANMAR, NOT_WS, STRIP, WS, WS_BODY, Rule, apply, let, matches, strip
+from siltmill.functions.regex import DIGIT, MYANMAR, NOT_WS, STRIP, WS, WS_BODY, Rule, apply, fold, let, matches, strip, where_found
 
 _COLON = "[:：]"
 _LINE = r"[^\n]*"
@@ -34,6 +34,9 @@ LEGAL = [
 BUTTON_WORDS = ("share", "like", "comment", "subscribe", "follow", "tweet", "facebook", "twitter", "download", "print")
 BUTTONS = [Rule(rf"(?i)\[?{WS}*{w}{WS}*\]?") for w in BUTTON_WORDS]
 BOILERPLATE = NAVIGATION + ADS + LEGAL + BUTTONS
+#: A word that every match of the rule with the same place holds.
+_ANCHORS = ["menu", "navigation", "breadcrumb", "home", "သင်္ကေတ", "မူလစာမျက်နှာ", "advertisement", "sponsored", "ad", "ကြော်ငြာ", "click", "read", "continue"]
+_ANCHORS += ["copyright", "reserved", "disclaimer", "term", "privacy", "မူပိုင်ခွင့်", "တရားဝင်", *BUTTON_WORDS]
 
 # Marks of text in another encoding, in the order in which they are looked for.
 ZAWGYI_MARKS = ("ZG ", "Zawgyi ", "ZAWGYI", "[Zawgyi]", "ZawGyi")
@@ -75,7 +78,9 @@ def remove_tags(text: Column) -> Column:
 
 def remove_boilerplate(text: Column) -> Column:
     """Navigation, advertising, legal lines and buttons; words are found inside other words too."""
-    return strip(apply(text, BOILERPLATE))
+    for word, rule in zip(_ANCHORS, BOILERPLATE, strict=True):
+        text = where_found(text, [word], [rule])
+    return strip(text)
 
 
 def remove_keywords(text: Column, keywords: Column) -> Column:
@@ -104,7 +109,9 @@ def remove_agency(text: Column) -> Column:
             out = F.when(matches(t, p), apply(t, [Rule(p)])).otherwise(out)
         return out
 
-    return strip(let(apply(text, AGENCY), cut))
+    text = apply(where_found(apply(text, AGENCY[:1]), ["(xinh", "(ဆင်ဟွာ)"], AGENCY[1:-1]), AGENCY[-1:])
+    named = lambda t: F.contains(fold(t), F.lit("english")) | F.contains(fold(t), F.lit("chinese"))
+    return strip(let(text, lambda t: F.when(named(t), cut(t)).otherwise(t)))
 
 
 def fold_references(text: Column) -> Column:
@@ -114,7 +121,7 @@ def fold_references(text: Column) -> Column:
         whole = rf"(?s)\A(.*?){REFERENCES}(.*)\z"
         after = strip(F.regexp_extract(t, whole, 2))
         before = apply(F.regexp_extract(t, whole, 1), STRIP[1:])
-        return F.when(~matches(t, REFERENCES), t).when(after == "", before).otherwise(F.concat(before, F.lit(" ကိုးကား "), after))
+        return F.when(~F.contains(t, F.lit("ကိုးကား")), t).when(~matches(t, REFERENCES), t).when(after == "", before).otherwise(F.concat(before, F.lit(" ကိုးကား "), after))
 
     return strip(let(text, fold))
 
@@ -145,7 +152,7 @@ def mark_exponents(text: Column) -> Column:
 
 
 def mark_roots(text: Column) -> Column:
-    return F.regexp_replace(text, r"sqrt\(([^)]+)\)", r"\$\\\\sqrt{$1}\$")
+    return F.regexp_replace(text, r"sqrt\(([^)]+)\)", r"\$\\sqrt{$1}\$")
 
 
 def for_comparison(text: Column) -> Column:

@@ -54,9 +54,10 @@ def lookup(df: DataFrame, config: DataFrame, defaults: dict, key: str = "site")
 
 
 def categories(sites: DataFrame) -> DataFrame:
-    """(site, ordinal, category, archive_url) of sites with a map of archive URLs or a single one, in the map's order."""
-    urls = F.coalesce("archive_urls", F.when(F.col("archive_url").isNotNull(), F.create_map(F.lit("main"), F.col("archive_url"))))
-    return sites.select("site", F.posexplode(F.map_entries(urls)).alias("ordinal", "e")).select("site", "ordinal", F.col("e.key").alias("category"), F.col("e.value").alias("archive_url"))
+    """(site, ordinal, category, archive_url) of sites with named archive URLs or a single one, in the settings' order."""
+    single = F.array(F.struct(F.lit("main").alias("category"), F.col("archive_url").alias("archive_url")))
+    listed = F.coalesce("archive_urls", F.when(F.col("archive_url").isNotNull(), single))
+    return sites.select("site", F.posexplode(listed).alias("ordinal", "e")).select("site", "ordinal", "e.category", "e.archive_url")
 
 
 def resume_from(cats: DataFrame, category: str) -> DataFrame:

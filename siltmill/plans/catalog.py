@@ -37,8 +37,8 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
-def _on_documents(name: str, f: Callable[[Column], Column], sql: str | None, before: str = "", after: str = "") -> None:
-    """A query of one value per document; ``sql`` names the document's text t."""
+def _on_documents(name: str, f: Callable[[Column], Column], sql: str | None, before: str = "", after: str = "", bare: bool = False) -> None:
+    """A query of one value per document; ``sql`` names the document's text t, with what is added unless ``bare``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = F.concat(F.lit(before), F.coalesce("text", F.lit("")), F.lit(after))
@@ -46,7 +46,8 @@ def _on_documents(name: str, f: Callable[[Column], Column], sql: str | None, bef
 
     QUERIES[name] = run
     if sql:
-        ORACLES[name] = f"SELECT doc_id, {sql} AS v FROM (SELECT doc_id, {quoted(before)} || coalesce(text, '') || {quoted(after)} AS t FROM documents)"
+        whole = "coalesce(text, '')" if bare else f"{quoted(before)} || coalesce(text, '') || {quoted(after)}"
+        ORACLES[name] = f"SELECT doc_id, {sql} AS v FROM (SELECT doc_id, {whole} AS t FROM documents)"
 
 
 def _rules(rules: list[regex.Rule], e: str = "t") -> str:
@@ -183,15 +184,15 @@ _on_documents("f3_keywords", lambda t: text.remove_keywords(t, F.array(*map(F.li
 _on_documents("f5_zawgyi_cut", lambda t: text.cut_zawgyi(F.concat(t, F.when(F.length(t) % 2 == 0, "[Zawgyi] x ZG y").otherwise(""))), "CASE WHEN length(t) % 2 = 0 THEN t || '[Zawgyi] x ' ELSE t END")
 _on_documents("f6_tags", text.remove_tags, _rules(text.TAGS), "<p class='a'>", "<br/> 1 < 2 </p>")
 _on_documents("f7_boilerplate", text.remove_boilerplate, _strip(_rules(text.BOILERPLATE)), "", _AFTER)
-_on_documents("f8_decode", pytext.decode_entities, r"regexp_replace(t, '[\x00-\x1f\x7f]', '', 'g') || '<b> & x y>'", "", "&lt;b&gt; &amp;amp; x\u200b\u00a0&foo;y&amp;gt;")
+_on_documents("f8_decode", pytext.decode_entities, r"regexp_replace(t, '[\x00-\x1f\x7f]', '', 'g') || '<b> & x y>'", "", "&lt;b&gt; &amp;amp; x\u200b\u00a0&foo;y&amp;gt;", bare=True)
 _cut = "CASE " + " ".join(f"WHEN {_has('a', p)} THEN {_rules([regex.Rule(p)], 'a')}" for p in text.VERSIONS) + " ELSE a END"
 QUERIES["f9_agency"] = lambda spark, d: _table(spark, d, "documents").select("doc_id", text.remove_agency(F.concat("text", F.when(F.col("doc_id") % 3 == 0, ", (Chinese Version) q").when(F.col("doc_id") % 3 == 1, "\n…… x ————tail\n (Xinhua/Name).").otherwise(" . English versiion z"))).alias("v"))
 ORACLES["f9_agency"] = f"SELECT doc_id, {_strip(_cut)} AS v FROM (SELECT doc_id, {_rules(text.AGENCY, 't')} AS a FROM (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ', (Chinese Version) q' WHEN 1 THEN chr(10) || '…… x ————tail' || chr(10) || ' (Xinhua/Name).' ELSE ' . English versiion z' END AS t FROM documents))"
-_on_documents("f10_references", text.fold_references, f"CASE WHEN length(t) % 2 = 0 THEN {_strip('t')} ELSE {_strip('t')} END || ' ကိုးကား notes'", "", " == ကိုးကား ==  notes ")
+_on_documents("f10_references", text.fold_references, f"{_strip('t')} || ' ကိုးကား notes'", "", " == ကိုးကား ==  notes ", bare=True)
 _on_documents("f11_quotes", text.remove_quotes, "replace(replace(t, '\"', ' '), '\\', ' ')", '"a" \\', " \\n\"")
 _on_documents("f12_bot_lines", text.remove_bot_lines, _strip("array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT contains(lower(x), 'botupload')), chr(10))"), "BotUpload 1\n", "\nx\nby BOTUPLOAD\ny ")
 _on_documents("f13_dashes", text.fold_dashes, _strip(_rules(text.DASHES)), "--a---", " - b --")
-_on_documents("f14_tables", pytext.convert_tables, r"t[1:length(t)-20] || '\begin{tabular}{cc}' || chr(10) || 'ab & cd \\' || chr(10) || 'ef & gh \\' || chr(10) || '\end{tabular}'" if False else None, "", "\n| a | b \n| c | d \n")
+_on_documents("f14_tables", lambda t: pytext.convert_tables(F.concat(F.replace(t, F.lit("|"), F.lit("")), F.lit("\n| a | b \n| c | d \n"))), r"replace(t, '|', '') || chr(10) || '\begin{tabular}{cc}' || chr(10) || 'a & b \\' || chr(10) || 'c & d \\' || chr(10) || '\end{tabular}'")
 _on_documents("f15_fractions", lambda t: pytext.convert_fractions(F.concat(F.regexp_replace(t, "[0-9/]", ""), F.lit(" so exactly one half of it is 1 / 2 then"))), r"regexp_replace(t, '[0-9/]', '', 'g') || ' so exactly one half of it is $\frac{1}{2}$ then'")
 _on_documents("f16_exponents", text.mark_exponents, _rules(text.EXPONENTS), "2^3 ", " 10 ^ 2 x^2")
 _on_documents("f17_roots", text.mark_roots, r"regexp_replace(t, 'sqrt\(([^)]+)\)', '$\\sqrt{\1}$', 'g')", "sqrt(x) ", " sqrt(a+b) sqrt()")
@@ -399,7 +400,7 @@ QUERIES["pipeline_clean_corpus"] = flagship
 @_query("pipeline_build_frontier")
 def _(spark, d):
     p = _table(spark, d, "pages")
-    sites = p.select(F.col("url").alias("archive_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("site"), F.lit(None).cast("map<string,string>").alias("archive_urls"), F.lit("0").alias("pagination_type"), F.lit(None).cast("string").alias("pagination_param"), F.lit(1).cast("long").alias("pagination_increment"))
+    sites = p.select(F.col("url").alias("archive_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("site"), F.lit(None).cast("array<struct<category:string,archive_url:string>>").alias("archive_urls"), F.lit("0").alias("pagination_type"), F.lit(None).cast("string").alias("pagination_param"), F.lit(1).cast("long").alias("pagination_increment"))
     return pipelines.build_frontier(sites, p, p.select("url").where("page_id < 0"), "nav > ul > li")
 
 

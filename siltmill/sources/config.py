@@ -8,7 +8,9 @@ import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_S, _L, _M = T.StringType(), T.ArrayType(T.StringType()), T.MapType(T.StringType(), T.StringType())
+_S, _L = T.StringType(), T.ArrayType(T.StringType())
+#: A map whose order counts: the first category is the default, and runs can be resumed from one.
+_M = T.ArrayType(T.StructType([T.StructField("category", T.StringType()), T.StructField("archive_url", T.StringType())]))
 SITE = {
     "name": _S, "description": _S, "slug": _S, "archive_url": _S, "archive_urls": _M, "archive_selector": _S, "content_selector": _S, "thumbnail_selector": _S,
     "pagination_type": _S, "pagination_param": _S, "pagination_increment": T.LongType(), "delay": _S, "timeout": T.LongType(), "max_pages": T.LongType(),
@@ -32,7 +34,7 @@ def _as(kind: T.DataType, v):
         return None
     if kind == _S:
         return str(v)
-    return {str(k): str(x) for k, x in v.items()} if kind == _M else list(map(str, v)) if kind == _L else bool(v) if kind == T.BooleanType() else int(v)
+    return [(str(k), str(x)) for k, x in v.items()] if kind == _M else list(map(str, v)) if kind == _L else bool(v) if kind == T.BooleanType() else int(v)
 
 
 def site_table(spark: SparkSession, settings: dict, kinds: dict[str, T.DataType] = SITE) -> DataFrame:
