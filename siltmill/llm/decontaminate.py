@@ -189,13 +189,12 @@ def _scan(held, only_hits: bool):
 def _merge(batches):
     """Union of the hits that several blocks found in one document: spans and items."""
     for batch in batches:
-        t = batch.to_pydict()
         starts, ends, items = [], [], []
-        for a, b, c in zip(t["starts"], t["ends"], t["items"], strict=True):
-            joined = _unite(np.array([x for y in a for x in y], np.int64), np.array([x for y in b for x in y], np.int64))
+        for parts in batch.column("parts").to_pylist():
+            joined = _unite(*(np.array([x for p in parts for x in p[k]], np.int64) for k in ("starts", "ends")))
             starts.append([s for s, _ in joined])
             ends.append([e for _, e in joined])
-            items.append(sorted({x for y in c for x in y}))
+            items.append(sorted({x for p in parts for x in p["items"]}))
         kind = pa.list_(pa.int32())
         cols = [batch.column(k) for k in ("doc_id", "text_key", "n_words")]
         yield pa.RecordBatch.from_arrays([*cols, pa.array(starts, kind), pa.array(ends, kind), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text_key", "n_words", "starts", "ends", "items"])
@@ -216,8 +215,8 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int =
         part = rows.mapInArrow(_scan(held, True), _HITS)
         hits = part if hits is None else hits.unionByName(part)
     # equal rows have equal hits, so a repeated row needs them once
-    hits = hits.groupBy("doc_id", "text_key", "n_words").agg(*(F.collect_set(c).alias(c) for c in ("starts", "ends", "items")))
-    joined = hits.select("doc_id", "text_key", "n_words", *(F.col(c) for c in ("starts", "ends", "items"))).mapInArrow(_merge, _HITS)
+    hits = hits.groupBy("doc_id", "text_key", "n_words").agg(F.collect_set(F.struct("starts", "ends", "items")).alias("parts"))
+    joined = hits.mapInArrow(_merge, _HITS)
     if only_hits:
         return joined
     counted = rows.mapInArrow(_scan(spark.sparkContext.broadcast(Index([], span, k)), False), _HITS).select("doc_id", "text_key", "n_words")

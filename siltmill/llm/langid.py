@@ -122,7 +122,7 @@ class Field:
     def totals(self, x: W.Words) -> np.ndarray:
         """Sums of word marginals by text and label."""
         out = np.zeros((len(x.counts), len(self.labels)))
-        if not len(x.hash):
+        if not len(x.hash) or not self.labels:
             return out
         first, kind = types_of(x.hash)
         emit = potentials(self.weights, *word_features(x, first, self.bits))
