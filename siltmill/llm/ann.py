@@ -7,7 +7,7 @@ leaves of equal share. Trees are fitted on at most ``SAMPLE`` distinct vectors
 (a documented bound, those with the least hashes); every vector is then routed
 to its leaf of every tree. A query walks all trees through one shared priority
 queue, nearest hyperplanes first, until the leaves it has reached hold ``VISIT``
-of all vectors, counted once for each tree. Within those leaves inner products
+of all vectors, counted once for each tree, and one tree's hold K + 1. Within those leaves inner products
 are exact, in double precision on the original vectors.
 
 Equal vectors are one entry with its ``K`` + 1 smallest ids: no more of them can
@@ -88,21 +88,22 @@ class Forest:
             out[:, t] = -1 - at
         return out
 
-    def search(self, x: np.ndarray, counts: list[np.ndarray], enough: float) -> list[list[tuple[int, int]]]:
-        """For each vector the (tree, leaf) pairs reached through the shared queue until they hold ``enough`` vectors."""
+    def search(self, x: np.ndarray, counts: list[np.ndarray], enough: float, least: int = 0) -> list[list[tuple[int, int]]]:
+        """For each vector the (tree, leaf) pairs reached through the shared queue until they hold ``enough`` vectors, and one tree's ``least``."""
         margins = [x @ t["normals"].T - t["offsets"] if len(t["offsets"]) else np.zeros((len(x), 0)) for t in self.trees]
         lists = [(m.tolist(), t["left"].tolist(), t["right"].tolist(), c.tolist()) for m, t, c in zip(margins, self.trees, counts, strict=True)]
         out = []
         for i in range(len(x)):
             queue = [(-np.inf, t, tree["root"]) for t, tree in enumerate(self.trees)]
-            got, found = 0, []
-            while queue and got < enough:
+            got, found, own = 0, [], [0] * len(self.trees)
+            while queue and (got < enough or max(own) < least):
                 far, t, n = heapq.heappop(queue)
                 m, left, right, count = lists[t]
                 if n < 0:
                     if count[-1 - n]:
                         found.append((t, -1 - n))
                         got += count[-1 - n]
+                        own[t] += count[-1 - n]
                     continue
                 v = m[i][n]
                 heapq.heappush(queue, (max(far, -v), t, right[n]))
@@ -135,7 +136,7 @@ def _routed(held, most: float):
     return routed
 
 
-def _asked(held, counts: list[np.ndarray], enough: float, blocks: dict):
+def _asked(held, counts: list[np.ndarray], enough: float, least: int, blocks: dict):
     def asked(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -143,7 +144,7 @@ def _asked(held, counts: list[np.ndarray], enough: float, blocks: dict):
             x = _vectors(batch.column("v"))
             for i in range(0, len(x), 512):
                 part = x[i : i + 512]
-                found = held.value.search(np.concatenate([part, np.zeros((len(part), 1))], axis=1), counts, enough)
+                found = held.value.search(np.concatenate([part, np.zeros((len(part), 1))], axis=1), counts, enough, least)
                 rows = [(r, t, leaf, b) for r, f in enumerate(found) for t, leaf in f for b in range(blocks[t, leaf])]
                 r, t, leaf, b = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
                 at = pa.array(r + i)
@@ -239,7 +240,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
     index = written(least.groupBy("h", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("entry"), "v", "ids", "h"), "index")
     n, most = index.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
     fitted = np.array([r.v for r in index.select("v", "h").orderBy("h", "v").limit(sample).collect()])
-    leaves = int(max(4, min(n // leaf, len(fitted) // 32)))
+    leaves = int(max(1, min(n // leaf, len(fitted) // 32)))
     forest = Forest(raised(fitted, most), trees, leaves)
     held = spark.sparkContext.broadcast(forest)
     routed = written(index.select("entry", "v").mapInArrow(_routed(held, most), "tree long, leaf long, entry long, v array<double>"), "routed")
@@ -250,7 +251,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
     deal = spark.createDataFrame([(t, i, b) for (t, i), b in blocks.items()], "tree long, leaf long, blocks long")
     entries = routed.join(F.broadcast(deal), ["tree", "leaf"]).select("tree", "leaf", F.pmod(F.xxhash64("entry"), F.col("blocks")).alias("block"), F.lit(0).alias("side"), "entry", "v")
     own = asked.select(F.col("vec_id").alias("entry"), "v")
-    visits = own.mapInArrow(_asked(held, counts, visit * n * trees, blocks), "tree long, leaf long, block long, entry long, v array<double>")
+    visits = own.mapInArrow(_asked(held, counts, visit * n * trees, k + 1, blocks), "tree long, leaf long, block long, entry long, v array<double>")
     both = entries.unionByName(visits.withColumn("side", F.lit(1)))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = both.repartition(width, "tree", "leaf", "block").sortWithinPartitions("tree", "leaf", "block", "side")
