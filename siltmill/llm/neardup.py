@@ -221,8 +221,7 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
     # a large cluster's pivots: some of its nodes, least hashes first, found block by block and so of bounded number
     large = dealt.where("blocks > 1")
-    first = large.withColumn("h", F.xxhash64("node", F.lit(1)))
-    first = first.withColumn("k", F.row_number().over(Window.partitionBy("cluster", "block").orderBy("h"))).where(F.col("k") == 1)
+    first = large.groupBy("cluster", "block").agg(F.min(F.struct(F.xxhash64("node", F.lit(1)).alias("h"), "node", "shingles", "blocks")).alias("f")).select("cluster", "block", "f.*")
     pivots = first.withColumn("k", F.row_number().over(Window.partitionBy("cluster").orderBy("h"))).where(F.col("k") <= PIVOTS)
     spread = pivots.select("cluster", "node", "shingles", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("into"), "block")
     spread = spread.where("into != block").select("cluster", "node", "shingles", "blocks", F.col("into").alias("block"))
