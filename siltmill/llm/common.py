@@ -37,8 +37,12 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 
 
 def prepare(df: DataFrame) -> SparkSession:
-    ship(df.sparkSession)
-    return df.sparkSession
+    """Make the package known to the executors, and batches of texts small where their size is still Spark's default."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ship(spark)
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+    return spark
 
 
 def parts_for(spark: SparkSession, n_bytes: float, each: float = 32e6) -> int:

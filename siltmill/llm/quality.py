@@ -204,10 +204,9 @@ def _kept(model: Discriminant, threshold: float):
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that score ``threshold`` or more; columns stay. Only the labelled texts are measured for the fit."""
+    """The documents that score ``threshold`` or more; columns stay. Texts don't move: statistics are taken where they lie, once for the fit and once for the filter."""
     prepare(docs)
-    known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id").distinct()
-    measured = docs.select("doc_id", "text").join(known, "doc_id", "left_semi").mapInArrow(_measured, "doc_id long, x array<double>")
+    measured = written(docs.select("doc_id", "text").mapInArrow(_measured, "doc_id long, x array<double>"), "measured")
     return docs.mapInArrow(_kept(fit(measured, labels), threshold), docs.schema)
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Texts are handled in runs of about so many bytes; a longer text is a run of its own.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
 _Q = U(0xD6E8FEB86659FD93)
