@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import once, prepare, table, with_texts
+from siltmill.llm.common import once, prepare, table, with_texts, written
 
 MIN_WORDS = 8
 _STOP = np.isin(np.arange(256), [ord(c) for c in ".!?"])
@@ -139,6 +139,8 @@ def _marked(docs: DataFrame) -> DataFrame:
     seen = docs.select(rank.alias("rank_id"), key.alias("text_key"), "text").mapInArrow(_occurrences, "digest long, check int, rank_id long, text_key long, unit int")
     first = seen.groupBy("digest", "check").agg(F.min(F.struct("rank_id", "text_key", "unit")).alias("f"), F.count("*").alias("n")).where("n > 1")
     first = first.select("digest", "check", F.col("f.rank_id").alias("kept"), F.col("f.text_key").alias("kept_key"), F.col("f.unit").alias("kept_unit"))
+    # written, not reused: as a table of its own, the join's sides are two exchanges, of which a hot digest's can be split
+    first = written(first, "first")
     later = seen.join(first, ["digest", "check"]).where("rank_id != kept or text_key != kept_key or unit != kept_unit")
     marks = later.groupBy("rank_id", "text_key").agg(F.collect_list(F.struct("unit", F.when(F.col("kept") != least, F.col("kept")).alias("kept"))).alias("__marks"))
     marks = marks.withColumnsRenamed({"rank_id": "__rank", "text_key": "__key"})
