@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import prepare, table, written
+from siltmill.llm.common import least_hashed, prepare, table, written
 
 K, TREES, LEAF, SAMPLE, VISIT, BLOCK = 20, 2, 1024, 20_000, 0.55, 4096
 _RESULT = "query_id long, entry long, score double"
@@ -239,7 +239,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, trees: int = TRE
     least = base.withColumn("h", F.xxhash64("v")).dropDuplicates(["h", "v", "vec_id"]).withColumn("k", F.row_number().over(w)).where(F.col("k") <= k + 1)
     index = written(least.groupBy("h", "v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("entry"), "v", "ids", "h"), "index")
     n, most = index.agg(F.count("*"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    fitted = np.array([r.v for r in index.select("v", "h").orderBy("h", "v").limit(sample).collect()])
+    fitted = np.array([r.v for r in least_hashed(index.select("v", "h"), "h", n, sample, ["v"])])
     leaves = int(max(1, min(n // leaf, len(fitted) // 32)))
     forest = Forest(raised(fitted, most), trees, leaves)
     held = spark.sparkContext.broadcast(forest)

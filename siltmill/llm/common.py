@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.ship import ship
@@ -71,3 +71,19 @@ def with_texts(batch: pa.RecordBatch, texts: list[str | None], changed: list[boo
         n = [len(t or "") if c else old for t, c, old in zip(texts, changed, batch.column(k).to_pylist(), strict=True)]
         batch = batch.set_column(k, batch.schema.field(k), pa.array(n, batch.schema.field(k).type))
     return batch
+
+
+def least_hashed(df: DataFrame, h: str, n: int, sample: int, ties: list[str]) -> list[Row]:
+    """The ``sample`` rows with the least 64-bit hashes in column ``h``, of about ``n`` rows.
+
+    Rows are cut at a hash that about twice as many stay below, so that tasks
+    send the driver that many together and not that many each; the cut is moved
+    up in the rare case that too few do.
+    """
+    share = 2 * sample / max(n, 1)
+    while True:
+        part = df if share >= 1 else df.where(F.col(h) < int(-(2**63) + share * 2**64))
+        got = part.orderBy(h, *ties).limit(sample).collect()
+        if share >= 1 or len(got) >= sample:
+            return got
+        share *= 4

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, table
+from siltmill.llm.common import least_hashed, prepare, table
 
 SAMPLE, BITS, STEPS, LINE, FOLDS, HELD = 1500, 18, 40, 32, 4, 2
 _RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -209,10 +209,10 @@ def held_out():
 
 
 def training_sample(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """(text, lang) of the ``sample`` labelled documents outside the fold that have the least hashes; top rows only leave a task."""
-    rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    got = rows.select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id").orderBy("h", "doc_id", "text").limit(sample)
-    return [(r.text, r.lang) for r in got.collect()]
+    """(text, lang) of the ``sample`` labelled documents outside the fold that have the least hashes."""
+    rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    hashed = rows.where(F.col("text").isNotNull()).select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id")
+    return [(r.text, r.lang) for r in least_hashed(hashed, "h", rows.count(), sample, ["doc_id", "text", "lang"])]
 
 
 def _predicted(held):
