@@ -47,19 +47,31 @@ def site_table(spark: SparkSession, settings: dict, kinds: dict[str, T.DataType]
     return spark.createDataFrame(rows, schema)
 
 
-#: Fixed names: settings of an environment file, the required ones first.
-ENV_REQUIRED = ("SCRAPER_ARCHIVE_URL", "SCRAPER_ARCHIVE_SELECTOR", "SCRAPER_CONTENT_SELECTOR", "SCRAPER_PAGINATION_TYPE")
+_text = lambda v: v or None
+_whole = lambda v: int(v) if v and v.isdigit() else None
+_number = lambda v: float(v) if v else None
+_flag = lambda v: (v or "").lower() in ("true", "1", "yes", "on")
+# Settings of an environment file, what they are if they aren't there, and how they are read. None: required.
+ENV = {
+    "slug": None, "archive_url": None, "archive_selector": None, "content_selector": None,
+    "pagination_type": ("none", _text), "pagination_param": (None, _text), "thumbnail_selector": ("img", _text), "delay": ("1.0", _text), "timeout": ("30", _number), "max_pages": (None, _whole),
+    "use_proxy": ("false", _flag), "force_engine": (None, _text), "log_level": ("INFO", _text), "output_format": ("ndjson", _text), "resume": ("false", _flag),
+}
 
 
-def load_env(path: str, required: tuple[str, ...] = ENV_REQUIRED) -> dict | None:
-    """SCRAPER_* settings with numbers and booleans as such; None if a required one is missing."""
+def load_env(path: str, prefix: str = "SCRAPER_") -> dict | None:
+    """Settings from KEY=value lines, by lower-case names without the prefix; None if the file or a required one is missing."""
     if not os.path.exists(path):
         return None
-    out: dict = {}
+    found: dict[str, str] = {}
     with open(path, encoding="utf-8") as f:
         for line in f:
-            key, sep, value = line.strip().partition("=")
-            if sep and not key.startswith("#") and key.strip().startswith("SCRAPER_"):
-                v = value.strip().strip("\"'")
-                out[key.strip()] = v.lower() == "true" if v.lower() in ("true", "false") else int(v) if v.isdigit() else v
-    return out if all(out.get(k) for k in required) else None
+            key, sep, value = line.strip().removeprefix("export ").partition("=")
+            if sep and not key.startswith("#") and key.strip().startswith(prefix):
+                found[key.strip().removeprefix(prefix).lower()] = value.strip().strip("\"'")
+    out: dict = {}
+    for name, spec in ENV.items():
+        if spec is None and not found.get(name):
+            return None
+        out[name] = found[name] if spec is None else spec[1](found.get(name, spec[0]))
+    return out

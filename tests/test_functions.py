@@ -19,7 +19,7 @@ def values(spark, f, inputs):
     "f, pairs",
     [
         (urls.is_valid_url, [("http://a/b", True), ("http://a/", False), ("a/b", False), ("", False), (None, False)]),
-        (urls.slug, [("Irrawaddy News", "irrawaddy_news"), ("  --  ", "--"), ("!!", "scraper_output"), (None, "scraper_output"), ("A  b_", "a_b")]),
+        (urls.slug, [("Daily News", "daily_news"), ("  --  ", "--"), ("!!", "scraper_output"), (None, "scraper_output"), ("A  b_", "a_b")]),
         (urls.collapse_spaces, [(" a\u00a0\n b ", "a b"), (None, "")]),
         (text.cut_zawgyi, [("a ZG b", "a "), ("x [Zawgyi] y ZG z", "x [Zawgyi] y "), ("none", "none"), (None, None)]),
         (text.remove_agency, [("A (Xinhua) mid text (end)", "A"), ("x (Xinhua/Name).", "x"), ("a\n————tail\nb", "a\n\nb"), ("one, (English version) y", "one"), ("one (Chinese version) two (English version)", "one (Chinese version) two"), ("…… x", "x")]),

@@ -112,8 +112,8 @@ def test_config(spark, tmp_path):
     assert [(r.site, r.category) for r in relational.categories(t).orderBy("site", "ordinal").collect()] == [("b", "z"), ("b", "a"), ("c", "main")]
     assert config.load_yaml(str(tmp_path / "none.yaml")) == {}
     env = tmp_path / ".env"
-    env.write_text("SCRAPER_ARCHIVE_URL=http://a\nSCRAPER_ARCHIVE_SELECTOR='.x'\nSCRAPER_CONTENT_SELECTOR=.y\nSCRAPER_PAGINATION_TYPE=queryparam\nSCRAPER_MAX_PAGES=5\nSCRAPER_RESUME=true\n# c\n")
+    env.write_text("SCRAPER_SLUG=s\nSCRAPER_ARCHIVE_URL=http://a\nSCRAPER_ARCHIVE_SELECTOR='.x'\nSCRAPER_CONTENT_SELECTOR=.y\nSCRAPER_MAX_PAGES=5\nSCRAPER_RESUME=Yes\n# c\n")
     got = config.load_env(str(env))
-    assert got["SCRAPER_MAX_PAGES"] == 5 and got["SCRAPER_RESUME"] is True and got["SCRAPER_ARCHIVE_SELECTOR"] == ".x"
+    assert (got["max_pages"], got["resume"], got["use_proxy"], got["archive_selector"], got["timeout"], got["thumbnail_selector"], got["pagination_param"]) == (5, True, False, ".x", 30.0, "img", None)
     env.write_text("SCRAPER_ARCHIVE_URL=http://a\n")
     assert config.load_env(str(env)) is None and config.load_env(str(tmp_path / "no")) is None
