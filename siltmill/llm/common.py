@@ -87,3 +87,13 @@ def least_hashed(df: DataFrame, h: str, n: int, sample: int, ties: list[str]) ->
         if share >= 1 or len(got) >= sample:
             return got
         share *= 4
+
+
+def separate(df: DataFrame) -> DataFrame:
+    """A small aggregate as a join's side with an exchange of its own.
+
+    Joined as it is, an aggregate by the join's key keeps its partitioning, and
+    adaptive execution can't split the other side's hot keys. Behind a rebalance
+    both sides are exchanged for the join, so it can, or broadcast a small side.
+    """
+    return df.hint("rebalance")

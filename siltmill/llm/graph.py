@@ -9,21 +9,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import written
+from siltmill.llm.common import separate, written
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     """Each node's greater neighbours point to the least of the node and its neighbours."""
     both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return both.join(separate(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Each node and its lesser neighbours point to the least of these."""
     down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return down.join(least, "a").select("b", "m").union(least.select(F.col("a").alias("b"), "m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return down.join(separate(least), "a").select("b", "m").union(least.select(F.col("a").alias("b"), "m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _unsettled(e: DataFrame) -> bool:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, repeats, table, written
+from siltmill.llm.common import prepare, repeats, separate, table, written
 from siltmill.llm.graph import components, in_groups
 
 SHINGLE, BANDS, ROWS, BLOCK, PIVOTS = 5, 24, 5, 256, 8
@@ -209,7 +209,7 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     # links of each band value's nodes to the least of them
     values = nodes.select("node", F.explode("bands").alias("value"))
     least = values.groupBy("value").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = written(values.join(least, "value").where("a != node").select("a", F.col("node").alias("b")).distinct(), "stars")
+    stars = written(values.join(separate(least), "value").where("a != node").select("a", F.col("node").alias("b")).distinct(), "stars")
     cluster = components(stars).withColumnRenamed("component", "cluster")
     # full sets of the clusters' nodes, each from one of its documents
     chosen = nodes.join(cluster, "node").select(F.col("first_id").alias("__id"), "node", "cluster")
@@ -217,7 +217,7 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     sets = texts.mapInArrow(_shingled(k), "cluster binary, node binary, shingles binary")
     sets = written(sets.dropDuplicates(["node"]) if repeats(docs) else sets, "sets")
     sizes = sets.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block))
-    sets = sets.join(sizes.select("cluster", "blocks"), "cluster")
+    sets = sets.join(separate(sizes.select("cluster", "blocks")), "cluster")
     dealt = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("long"))
     # a large cluster's pivots: some of its nodes, least hashes first, found block by block and so of bounded number
     large = dealt.where("blocks > 1")
@@ -238,11 +238,11 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int)
     # what is outside the largest component of a large cluster meets every block
     count = apart.groupBy("cluster", "component").agg(F.count("*").alias("n"))
     most = count.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("most"))
-    outside = apart.join(most, "cluster").where("component != most")
+    outside = apart.join(separate(most), "cluster").where("component != most")
     s_count = outside.groupBy("cluster").agg(F.ceil(F.count("*") / block).alias("s_blocks"))
-    outside = outside.join(s_count, "cluster").withColumn("other", F.pmod(F.xxhash64("node", F.lit(2)), F.col("s_blocks")).cast("long"))
+    outside = outside.join(separate(s_count), "cluster").withColumn("other", F.pmod(F.xxhash64("node", F.lit(2)), F.col("s_blocks")).cast("long"))
     left = outside.select("cluster", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "other", F.lit(0).alias("side"), "component", "node", "shingles")
-    right = apart.join(s_count, "cluster").select("cluster", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s_blocks") - 1)).alias("other"), F.lit(1).alias("side"), "component", "node", "shingles")
+    right = apart.join(separate(s_count), "cluster").select("cluster", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s_blocks") - 1)).alias("other"), F.lit(1).alias("side"), "component", "node", "shingles")
     grid = left.unionByName(right).repartition(width, "cluster", "block", "other").sortWithinPartitions("cluster", "block", "other").select("cluster", "block", "other", "side", "component", "shingles")
     links = written(grid.mapInArrow(_across(percent), "a binary, b binary").distinct(), "across")
     over = components(links).select(F.col("node").alias("component"), F.col("component").alias("joined"))
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
     whole = nodes.select("node", "least").join(label, "node")
     smallest = whole.groupBy("component").agg(F.min("least").alias("smallest"))
     ids = nodes.select("node", "least").join(whole.join(smallest, "component").select("node", "smallest"), "node", "left").select("node", F.coalesce("smallest", "least").alias("c"))
-    out = sig.select("doc_id", "n_shingles", "node").join(ids, "node", "left").withColumn("component_id", F.coalesce("c", "doc_id"))
+    out = sig.select("doc_id", "n_shingles", "node").join(separate(ids), "node", "left").withColumn("component_id", F.coalesce("c", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
