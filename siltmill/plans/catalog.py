@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siltmill.functions import pytext, regex, text, urls
 from siltmill.functions.regex import quoted
-from siltmill.operators import extract, relational, report
+from siltmill.operators import extract, relational, report, robots
 from siltmill.plans import pipelines
 from siltmill.ship import ship
 from siltmill.sources.config import CLEANING, site_table
@@ -254,6 +254,15 @@ def _(spark, d):
     return report.lint_selectors(rows).select("selector", "is_valid", F.col("test_matches").cast("int").alias("test_matches"))
 
 
+@_query("s13_robots", "SELECT page_id, url FROM pages WHERE page_id % 2 = 1 AND NOT (url LIKE '%/fr/%' AND page_id % 4 = 1)")
+def _(spark, d):
+    # a rule set for each page's own host would be one row per host; here the page number is the host, so that rules differ
+    n = F.col("page_id")
+    p = _table(spark, d, "pages").select("page_id", F.col("url").alias("own"), F.concat(F.lit("http://h"), n.cast("string"), F.when(F.contains("url", F.lit("/fr/")), "/fr/x").otherwise("/x")).alias("url"))
+    rules = p.where("page_id % 4 <> 3").select(F.concat(F.lit("h"), n.cast("string")).alias("host"), F.when(n % 2 == 0, "User-agent: *\nDisallow: /").otherwise("User-agent: *\nDisallow: /fr/").alias("rules"))
+    return robots.allowed(p, rules).select("page_id", F.col("own").alias("url"))
+
+
 # ---- tables of records
 
 _LINE = "CASE WHEN doc_id % 11 = 0 THEN '{bad' WHEN doc_id % 7 = 0 THEN '{\"id\":1,\"url\":null}' ELSE '{\"id\":1,\"url\":2,\"scraped_at\":null}' END"

@@ -117,3 +117,11 @@ def test_config(spark, tmp_path):
     assert (got["max_pages"], got["resume"], got["use_proxy"], got["archive_selector"], got["timeout"], got["thumbnail_selector"], got["pagination_param"]) == (5, True, False, ".x", 30.0, "img", None)
     env.write_text("SCRAPER_ARCHIVE_URL=http://a\n")
     assert config.load_env(str(env)) is None and config.load_env(str(tmp_path / "no")) is None
+
+
+def test_robots():
+    from siltmill.operators.robots import may_fetch
+
+    rules = "User-agent: bad\nDisallow: /\n\nUser-agent: *\nDisallow: /private/"
+    assert may_fetch("http://h/a", rules) and not may_fetch("http://h/private/a", rules) and not may_fetch("http://h/a", rules, "bad")
+    assert may_fetch("http://h/a", None) and may_fetch(None, "")
