@@ -1,27 +1,34 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 The root is the smoothed unigram distribution of all training tokens. A context
-of one or two preceding words is a candidate if it makes up ``CONTEXT`` of the
-training tokens or more, so there are at most 1 / CONTEXT of each length. Its
-next-symbol distribution keeps the symbols whose pairs make up ``PAIR`` of the
-tokens or more; counts are smoothed towards the distribution of the context
-without its first word, and what is left goes to the other symbols in that
-distribution's proportions, so every state's probabilities sum to one. A context
-is retained if its count times the divergence from the shorter context exceeds
-half its number of symbols times log N; a retained context's suffix is a state
-too. A token is scored in the state of the longest retained suffix.
-
-A score is the base score (the root alone) plus what states add, and states only
-involve words of a vocabulary of bounded size (PAIR and CONTEXT bound it), which
-is broadcast. Counts of all other words stay distributed: rare tokens of
-documents meet them in an equi-join and come back as one sum per document.
-
-Words are known by 64-bit hashes. Rows whose crc32(doc_id as text) mod 10 is
-not 0 are learned from. Defined cases: a null text is empty and is its end token
-alone; a null doc_id is learned from and is no held-out row; repeated rows each
-count in learning and get their row again; with no training rows every token
-has the probability of an unknown one; an empty table gives an empty result;
-extra columns are ignored.
+is any run of preceding words, of any length, that is followed by the same token
+twice or more (``LEAST``, an absolute count, so that the model grows with the
+input). Its distribution keeps the tokens seen after it so often; counts are
+smoothed towards the distribution of the context without its first word, and
+what is left goes to the other tokens in that distribution's proportions, so
+every state's probabilities sum to one. A context is retained if its count times
+the divergence from the shorter context exceeds half its number of symbols times
+log N; a retained context's suffix is a state too. Contexts are made longer by a
+word until none of a length is retained. A token is scored in the state of the
+longest retained suffix.
+
+As suffixes of states are states, a token's log probability is the root's plus
+what each state on the way to the longest adds to it. That is the sum of a value
+for each context (what it leaves to tokens that weren't seen after it) and one
+for each context with a token seen after it. So the model is one distributed
+table from the hash of a run of words to a value, and a document gains the sum
+over its runs: those that make up ``HOT`` of the tokens or more meet a broadcast
+part of the table, at most 1 / HOT runs of each length, the others meet the rest
+in an equi-join and come back as one sum per document. A broadcast bitmap of
+bounded size spares runs without a value the exchange; all that it lets pass
+wrongly is dropped by the join. Counts of rare words are joined likewise.
+
+Words are known by 64-bit hashes, and so are runs of them. Rows whose
+crc32(doc_id as text) mod 10 is not 0 are learned from. Defined cases: a null
+text is empty and is its end token alone; a null doc_id is learned from and is
+no held-out row; repeated rows each count in learning and get their row again;
+with no training rows every token has the probability of an unknown one; an
+empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +43,13 @@ from pyspark.sql import functions as F
 from siltmill.llm import words as W
 from siltmill.llm.common import prepare, repeats, table, written
 
-CONTEXT, NEXT, PAIR, FREQUENT, PRIOR, FOLDS = 1e-4, 1e-5, 1e-6, 1e-6, 20.0, 10
+LEAST, FREQUENT, HOT, PRIOR, FOLDS = 2, 1e-6, 1e-5, 20.0, 10
+#: A bitmap has 8 to 16 bits for each of its keys, but no more than 2 ** MOST_BITS (8 MB).
+MOST_BITS = 26
+#: Runs of words that a task tallies at once.
+TALLIED = 2_000_000
 END = W.mix(np.array([0x0E4D], W.U))[0]
-_SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double, rare array<struct<h:long,n:int>>"
+_SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double, rare array<struct<h:long,n:int>>, runs array<struct<h:long,n:int>>"
 _S32 = np.int64(32)
 
 
@@ -108,8 +119,6 @@ class Vocabulary:
     distinct: int
 
     def __post_init__(self):
-        self.next = self.count >= NEXT * self.total
-        self.context = (self.count >= CONTEXT * self.total) & (self.hash != END)
         self.bits = np.zeros(1 << 22, bool)
         self.bits[(self.hash >> W.U(42)).astype(np.int64)] = True
 
@@ -138,148 +147,227 @@ def _where(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _context_of(ids: np.ndarray, first: np.ndarray, vocabulary: Vocabulary, pairs: np.ndarray | None) -> np.ndarray:
-    """For each place the number of its context: of one word (a token's number), or of two (a place in ``pairs``)."""
-    usable = np.where(ids >= 0, vocabulary.context[ids] if len(vocabulary.hash) else False, False)
-    one = np.full(len(ids), -1)
-    one[1:] = np.where(usable[:-1], ids[:-1], -1)
-    one[first[:-1]] = -1
-    if pairs is None:
-        return one
-    two = np.full(len(ids), -1)
-    two[1:] = one[:-1]
-    two[first[:-1]] = -1
-    both = np.flatnonzero((one >= 0) & (two >= 0))
-    out = np.full(len(ids), -1)
-    out[both] = _where(pairs, two[both] << _S32 | one[both])
-    return out
-
-
-def _following(held, pairs: np.ndarray | None):
-    def following(batches):
-        vocabulary, tally = held.value, Tally()
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a bounded table, by Arrow: rows as Python objects would fill the driver."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
+@dataclass
+class Bits:
+    """A bitmap of 64-bit keys by their first bits: says yes to all its keys and to few others while it isn't full."""
+
+    words: np.ndarray
+    size: int
+
+    @staticmethod
+    def of(df: DataFrame) -> Bits:
+        """The bitmap of the column k. Tasks send only words of it."""
+        size = min(MOST_BITS, max(10, (8 * df.count()).bit_length()))
+        place = f"shiftrightunsigned(k, {64 - size})"
+        rows = df.groupBy(F.expr(f"shiftrightunsigned(k, {70 - size})").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b"))
+        at, bits = _columns(rows)
+        words = np.zeros(1 << (size - 6), W.U)
+        words[at] = bits.view(W.U)
+        return Bits(words, size)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        k = h >> W.U(64 - self.size)
+        return (self.words[(k >> W.U(6)).astype(np.int64)] >> (k & W.U(63)) & W.U(1)).astype(bool)
+
+
+def join_runs(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of runs of n + 1 words from those of their first and of their last n."""
+    return W.mix(before * W.U(0x9E3779B97F4A7C15) + last)
+
+
+def runs_of(h: np.ndarray, first: np.ndarray, most: int):
+    """For lengths from 1 to ``most``: the hash of the run of that many tokens that ends at each place, and whether the place's text has one."""
+    within = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
+    run = h
+    for length in range(1, most + 1):
+        yield run, within >= length - 1
+        if length < most:
+            longer = run.copy()
+            longer[1:] = join_runs(run[:-1], run[1:])
+            run = longer
+
+
+def _pairs(held, length: int):
+    """Runs of ``length`` tokens, each as the hashes of all but its last and of all but its first token, with counts. The bitmap must have both."""
+
+    def tallied(parts):
+        before, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+        _, at, n = np.unique(join_runs(before, last), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(before[at].view(np.int64)), pa.array(last[at].view(np.int64)), pa.array(n.astype(np.int64))], names=["before", "last", "n"])
+
+    def pairs(batches):
+        bits, parts, n = held.value, [], 0
         for batch in batches:
             for _, _, x in W.runs(batch.column("text"), "space"):
                 h, first = tokens(x)
-                ids = vocabulary.find(h)
-                c = _context_of(ids, first, vocabulary, pairs)
-                on = np.flatnonzero((c >= 0) & (ids >= 0))
-                on = on[vocabulary.next[ids[on]]]
-                for k, n in tally.add(c[on] << _S32 | ids[on]):
-                    yield _rows(k, n)
-        for k, n in tally.rest():
-            yield _rows(k, n)
-
-    return following
+                *_, (run, has) = runs_of(h, first, length - 1)
+                known = has & bits.has(run)
+                within = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
+                ends = np.flatnonzero(known[1:] & known[:-1] & (within[1:] >= length - 1)) + 1
+                parts.append((run[ends - 1], run[ends]))
+                n += len(ends)
+                if n > TALLIED:
+                    yield tallied(parts)
+                    parts, n = [], 0
+        if parts:
+            yield tallied(parts)
+
+    return pairs
+
+
+def _keyed(batches):
+    for batch in batches:
+        before, last = (batch.column(c).to_numpy().view(W.U) for c in ("before", "last"))
+        yield pa.RecordBatch.from_arrays([pa.array(join_runs(before, last).view(np.int64)), *batch.columns], names=["k", *batch.schema.names])
 
 
 @dataclass
 class Level:
-    """States of one context length: which contexts, log10 of what they leave to shorter ones, and their symbols' gains over the root."""
-
-    states: np.ndarray  # sorted numbers of the contexts
-    rest: np.ndarray
-    keys: np.ndarray  # sorted, state's context << 32 | symbol
-    gain: np.ndarray
-
+    """The states of one length that the broadcast part has: a token's number, or a place in the tree's ``pairs``."""
 
-def grow(keys: np.ndarray, counts: np.ndarray, sizes: dict[int, int], vocabulary: Vocabulary, shorter: Level | None, suffix: np.ndarray | None) -> tuple[Level, np.ndarray]:
-    """The states of contexts with given pair counts, and which of them pass the divergence test.
-
-    suffix gives for each context the number of its one-word suffix. Every
-    context gets a state here; the caller drops those that aren't needed.
-    """
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order].astype(float)
-    context, symbol = keys >> _S32, keys & np.int64(0xFFFFFFFF)
-    states, at = np.unique(context, return_index=True)
-    if not len(states):
-        return Level(states, np.zeros(0), keys, np.zeros(0)), np.zeros(0, bool)
-    root = vocabulary.root[symbol]
-    before = root.copy()
-    if shorter is not None:
-        own = suffix[context]
-        p = _where(shorter.keys, own << _S32 | symbol)
-        s = _where(shorter.states, own)
-        gain = np.where(p >= 0, shorter.gain[p] if len(shorter.gain) else 0.0, np.where(s >= 0, shorter.rest[s] if len(shorter.rest) else 0.0, 0.0))
-        before = root * 10.0**gain
-    size = np.array([sizes[int(c)] for c in states], float)
-    of = np.repeat(np.arange(len(states)), np.diff(np.append(at, len(keys))))
-    p = (counts + PRIOR * before) / (size[of] + PRIOR)
-    kept, left = np.add.reduceat(p, at), np.add.reduceat(before, at)
-    rest = np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - left, 1e-12))
-    raw = counts / size[of]
-    other = np.maximum(1 - np.add.reduceat(raw, at), 0)
-    divergence = np.add.reduceat(raw * np.log(raw / before), at) + np.where(other > 0, other * np.log(np.maximum(other, 1e-12) / np.maximum(1 - left, 1e-12)), 0)
-    passed = size * divergence > 0.5 * (np.bincount(of) + 1) * np.log(max(vocabulary.total, 2))
-    return Level(states, rest, keys, np.log10(p / root)), passed
-
-
-def _only(level: Level, keep: np.ndarray) -> Level:
-    on = keep[np.searchsorted(level.states, level.keys >> _S32)] if len(level.keys) else np.zeros(0, bool)
-    return Level(level.states[keep], level.rest[keep], level.keys[on], level.gain[on])
+    states: np.ndarray
 
 
 @dataclass
 class Tree:
+    """The broadcast part of the model: sorted hashes of frequent runs with their values, and a bitmap of all runs that have one."""
+
     vocabulary: Vocabulary
+    hash: np.ndarray
+    seen: np.ndarray  # what a run adds to its last token, as a context with a token seen after it
+    rest: np.ndarray  # what it adds to the token after it, as a context
+    bits: Bits
+    depth: int
     one: Level
     two: Level
-    pairs: np.ndarray  # sorted, first word << 32 | second word; a two-word context's number is its place
+    pairs: np.ndarray  # sorted, first word << 32 | second word
+
+    def gains(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What frequent runs add to each place, and the other runs that may have a value: their hashes and the places they end at."""
+        out, rare, at = np.zeros(len(h) + 1), [np.zeros(0, W.U)], [np.zeros(0, np.int64)]
+        for run, has in runs_of(h, first, self.depth + 1 if self.depth else 0):
+            on = np.flatnonzero(has & self.bits.has(run))
+            k = _where(self.hash, run[on])
+            hot = k >= 0
+            out[on[hot]] += self.seen[k[hot]]
+            out[on[hot] + 1] += self.rest[k[hot]]
+            rare.append(run[on[~hot]])
+            at.append(on[~hot])
+        return out[:-1], np.concatenate(rare), np.concatenate(at)
 
     def added(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """What the states add to the root's log10 probability of each token."""
-        out = np.zeros(len(ids))
-        for level, pairs in ((self.one, None), (self.two, self.pairs)):
-            if not len(level.states):
-                continue
-            c = _context_of(ids, first, self.vocabulary, pairs)
-            s = _where(level.states, c)
-            on = np.flatnonzero((c >= 0) & (s >= 0))
-            seen = np.where(ids[on] >= 0, _where(level.keys, c[on] << _S32 | np.maximum(ids[on], 0)), -1)
-            out[on] = np.where(seen >= 0, level.gain[seen] if len(level.gain) else 0.0, level.rest[s[on]] + out[on])
-        return out
+        """What the broadcast states add to the root's log10 probability of each token."""
+        return self.gains(np.where(ids >= 0, self.vocabulary.hash[ids], W.U(1)), first)[0]
 
 
 def held_out():
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def learn(training: DataFrame) -> tuple[Tree, DataFrame]:
-    """The tree of the training rows' texts, and the counts (k, n) of all their tokens."""
+def _once(df: DataFrame, tag: str) -> DataFrame:
+    """Written, with the shuffle files that it took removed at once, so that lengths don't add up on the disks."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        return written(df, tag)
+    finally:
+        spark.conf.set(key, old)
+
+
+def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int) -> list[tuple[DataFrame, DataFrame]]:
+    """For each length of contexts up to the longest with a state: the tokens after contexts (k, before, last, n, size, shorter, p), and the contexts (before, size, rest, passed).
+
+    A run that comes ``LEAST`` times has its first and its last words so often,
+    so runs are only counted where the bitmap of shorter ones has both.
+    """
+    spark = texts.sparkSession
+    known = counts.where(F.col("n") >= LEAST).select("k", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("p"))
+    levels: list[tuple[DataFrame, DataFrame]] = []
+    while True:
+        held = spark.sparkContext.broadcast(Bits.of(known))
+        rows = texts.mapInArrow(_pairs(held, len(levels) + 2), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+        sized = rows.mapInArrow(_keyed, "k long, before long, last long, n long").join(known.select(F.col("k").alias("before"), F.col("n").alias("size")), "before").join(known.select(F.col("k").alias("last"), F.col("p").alias("shorter")), "last")
+        pairs = _once(sized.select("k", "before", "last", "n", "size", "shorter"), "pairs").withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
+        held.unpersist()
+        raw, left = F.col("n") / F.col("size"), F.greatest(1 - F.col("shorter_sum"), F.lit(1e-12))
+        states = pairs.groupBy("before").agg(
+            F.first("size").alias("size"), F.count("*").alias("m"), F.sum("p").alias("p_sum"), F.sum("shorter").alias("shorter_sum"),
+            F.greatest(1 - F.sum(raw), F.lit(0.0)).alias("other"), F.sum(raw * F.log(raw / F.col("shorter"))).alias("d"),
+        )
+        other = F.when(F.col("other") > 1e-12, F.col("other") * F.log(F.col("other") / left)).otherwise(0.0)
+        passed = F.col("size") * (F.col("d") + other) > 0.5 * (F.col("m") + 1) * F.log(F.lit(float(max(total, 2))))
+        rest = F.log10(F.greatest(1 - F.col("p_sum"), F.lit(1e-12)) / left)
+        states = _once(states.select("before", "size", rest.alias("rest"), passed.alias("passed")), "states")
+        if not states.where("passed").take(1):
+            return levels
+        levels.append((pairs, states))
+        known = pairs.select("k", "n", "p")
+
+
+def model(training: DataFrame) -> tuple[Tree, DataFrame, DataFrame]:
+    """The tree of the training rows' texts, the counts (k, n) of all their tokens, and the rest of the model: runs that aren't in the tree, with their values (k, v)."""
     spark = training.sparkSession
     texts = training.select("text")
     counts = written(texts.mapInArrow(_unigrams, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "counts")
     t = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = t["n"] or 0, t["v"]
     # at most 1 / FREQUENT rows
-    frequent = counts.where(F.col("n") >= max(1, FREQUENT * total)).toPandas()
-    h = frequent["k"].to_numpy(np.int64).view(W.U)
+    h, n = _columns(counts.where(F.col("n") >= max(1, FREQUENT * total)).select("k", "n"))
+    h = h.view(W.U)
     order = np.argsort(h)
-    vocabulary = Vocabulary(h[order], frequent["n"].to_numpy(np.int64)[order], total, distinct)
-    held = spark.sparkContext.broadcast(vocabulary)
-
-    def following(pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        rows = texts.mapInArrow(_following(held, pairs), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-        found = rows.where(F.col("n") >= max(2, PAIR * total)).toPandas()  # at most 1 / PAIR rows
-        return found["k"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-
-    keys, n = following(None)
-    every, passed = grow(keys, n, dict(enumerate(vocabulary.count.tolist())), vocabulary, None, None)
-    # two-word contexts are pairs that are frequent enough and can go on
-    b = keys & np.int64(0xFFFFFFFF)
-    usable = (n >= CONTEXT * total) & vocabulary.context[b] if len(keys) else np.zeros(0, bool)
-    order = np.argsort(keys[usable])
-    pairs, size = keys[usable][order], n[usable][order]
-    if len(pairs):
-        keys2, n2 = following(pairs)
-    else:
-        keys2, n2 = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    suffix = pairs & np.int64(0xFFFFFFFF)
-    two, good = grow(keys2, n2, dict(enumerate(size.tolist())), vocabulary, every, suffix)
-    two = _only(two, good)
-    one = _only(every, passed | np.isin(every.states, suffix[two.states]))
-    return Tree(vocabulary, one, two, pairs), counts
+    vocabulary = Vocabulary(h[order], n[order], total, distinct)
+    levels = grow(texts, counts, total, distinct)
+    values, kept, longer = counts.select("k", F.lit(0.0).alias("seen"), F.lit(0.0).alias("rest"), "n").where("false"), [], None
+    for pairs, states in reversed(levels):
+        wanted = states.where("passed").select("before")
+        if longer is not None:
+            # a state's suffix: the run without its first word
+            suffixes = pairs.join(longer.select(F.col("before").alias("k")), "k", "left_semi").select(F.col("last").alias("before"))
+            wanted = wanted.union(suffixes)
+        longer = _once(states.join(wanted.distinct(), "before", "left_semi").select("before", "size", "rest"), "kept")
+        kept.insert(0, longer)
+        after = pairs.join(longer.select("before", "rest"), "before").select("k", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen"), F.lit(0.0).alias("rest"), "n")
+        values = values.union(after).union(longer.select(F.col("before").alias("k"), F.lit(0.0).alias("seen"), "rest", F.col("size").alias("n")))
+    values = _once(values.groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("rest").alias("rest"), F.max("n").alias("n")), "values")
+    least = max(LEAST, HOT * total)
+    # at most 1 / HOT runs of each length
+    h, seen, rest = _columns(values.where(F.col("n") >= least).select("k", "seen", "rest"))
+    h = h.view(W.U)
+    order = np.argsort(h)
+    words = lambda c: vocabulary.find(c.view(W.U))
+    one = words(_columns(kept[0].where(F.col("size") >= least).select("before"))[0]) if kept else np.zeros(0, np.int64)
+    two = np.zeros(0, np.int64)
+    if len(kept) > 1:
+        before, last = _columns(levels[0][0].join(kept[1].where(F.col("size") >= least).select(F.col("before").alias("k")), "k", "left_semi").select("before", "last"))
+        two = np.sort(words(before) << _S32 | words(last))
+    tree = Tree(vocabulary, h[order], seen[order], rest[order], Bits.of(values), len(levels), Level(np.sort(one)), Level(np.arange(len(two))), two)
+    return tree, counts, values.where(F.col("n") < least).select("k", (F.col("seen") + F.col("rest")).alias("v"))
+
+
+def learn(training: DataFrame) -> tuple[Tree, DataFrame]:
+    """The tree of the training rows' texts, and the counts (k, n) of all their tokens."""
+    return model(training)[:2]
+
+
+def _sums(own: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of n texts, each once in a text: how many a text has, the hashes, how often each."""
+    order = np.lexsort((h, own))
+    h, own = h[order], own[order]
+    at = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])) if len(h) else np.zeros(0, np.int64)
+    return np.bincount(own[at], minlength=n), h[at].view(np.int64), np.diff(np.append(at, len(h))).astype(np.int32)
+
+
+def _lists(parts: list) -> pa.ListArray:
+    lengths, hs, ns = zip(*parts, strict=True) if parts else ([], [], [])
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths) if lengths else [])]).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(hs) if hs else np.zeros(0, np.int64)), pa.array(np.concatenate(ns) if ns else np.zeros(0, np.int32))], names=["h", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pairs)
 
 
 def _scored(held):
@@ -289,30 +377,23 @@ def _scored(held):
         logs = v.log_root(v.count)
         for batch in batches:
             cols: list[list] = [[], [], [], []]
-            lengths, hs, ns = [], [], []
+            words, runs = [], []
             for _, _, x in W.runs(batch.column("text"), "space"):
                 h, first = tokens(x)
                 ids = v.find(h)
                 text_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
                 n = len(first) - 1
                 known = ids >= 0
+                gain, rare, at = tree.gains(h, first)
                 cols[0].append(np.diff(first))
                 cols[1].append(np.bincount(text_of[known], minlength=n))
                 cols[2].append(np.bincount(text_of[known], logs[ids[known]], n) if len(logs) else np.zeros(n))
-                cols[3].append(np.bincount(text_of, tree.added(ids, first), n))
-                rare, own = h[~known], text_of[~known]
-                order = np.lexsort((rare, own))
-                rare, own = rare[order], own[order]
-                at = np.flatnonzero(np.concatenate([[True], (rare[1:] != rare[:-1]) | (own[1:] != own[:-1])])) if len(rare) else np.zeros(0, np.int64)
-                lengths.append(np.bincount(own[at], minlength=n))
-                hs.append(rare[at].view(np.int64))
-                ns.append(np.diff(np.append(at, len(rare))).astype(np.int32))
+                cols[3].append(np.bincount(text_of, gain, n))
+                words.append(_sums(text_of[~known], h[~known], n))
+                runs.append(_sums(text_of[at], rare, n))
             flat = [np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(cols, (np.int64, np.int64, float, float), strict=True)]
-            offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths) if lengths else [])]).astype(np.int32)
-            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(hs) if hs else np.zeros(0, np.int64)), pa.array(np.concatenate(ns) if ns else np.zeros(0, np.int32))], names=["h", "n"])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pairs)
             keep = [batch.column(k) for k in ("doc_id", "text_key", "held_out")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2]), pa.array(flat[3]), lists], names=["doc_id", "text_key", "held_out", "n_tokens", "known", "base", "added", "rare"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2]), pa.array(flat[3]), _lists(words), _lists(runs)], names=["doc_id", "text_key", "held_out", "n_tokens", "known", "base", "added", "rare", "runs"])
 
     return scored
 
@@ -322,7 +403,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark = prepare(docs)
     docs = docs.select("doc_id", "text")
     again = repeats(docs)
-    tree, counts = learn(docs.where(~held_out()))
+    tree, counts, values = model(docs.where(~held_out()))
     v = tree.vocabulary
     held = spark.sparkContext.broadcast(tree)
     rows = docs.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long")).withColumn("held_out", held_out())
@@ -333,12 +414,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     base = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / (v.total + 0.1 * (v.distinct + 1)))
     least = max(1, FREQUENT * v.total)
     sums = rare.join(counts.where(F.col("n") < least), "k", "left").groupBy("id", "text_key").agg(F.sum(F.col("m") * base).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("rare_known"))
-    sums = sums.withColumnRenamed("text_key", "sum_key")
-    out = scored.drop("rare").join(sums, (key == F.col("id")) & (F.col("text_key") == F.col("sum_key")), "left")
+    runs = scored.select(key.alias("id"), "text_key", F.explode("runs").alias("r")).select("id", "text_key", F.col("r.h").alias("k"), F.col("r.n").alias("m"))
+    gains = runs.join(values, "k").groupBy("id", "text_key").agg(F.sum(F.col("m") * F.col("v")).alias("rare_added"))
+    out = scored.drop("rare", "runs")
+    for found in (sums, gains):
+        found = found.withColumnRenamed("text_key", "sum_key")
+        out = out.join(found, (key == F.col("id")) & (F.col("text_key") == F.col("sum_key")), "left").drop("id", "sum_key")
     score = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
     out = out.select(
         "doc_id", "text_key", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(v.total).cast("long").alias("train_tokens"), score.alias("base_score"), (score + F.col("added")).alias("score"),
+        F.lit(v.total).cast("long").alias("train_tokens"), score.alias("base_score"), (score + F.col("added") + F.coalesce("rare_added", F.lit(0.0))).alias("score"),
     )
     if again:
         mine = rows.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))

@@ -105,6 +105,73 @@ def test_states_sum_to_one_and_help(make):
     assert r and all(x.score > x.base_score + 0.1 * x.n_tokens for x in r)
 
 
+def test_suffix_tree_like_brute_force(make, monkeypatch):
+    """States of any length, also of rare words, whether they are broadcast or joined: scores equal those of a plain walk over all contexts."""
+    rnd = np.random.default_rng(6)
+    w = lambda k: f"w{rnd.integers(k)}"
+    phrases = [" ".join(w(9) for _ in range(6)) for _ in range(12)]
+    rows = [(i, " ".join(rnd.choice(phrases) if rnd.random() < 0.7 else w(2000) for _ in range(25))) for i in range(160)]
+    tokens = lambda t: [*t.split(), "\0"]
+    pairs, total = Counter(), 0
+    for i, t in rows:
+        if crc(i, 10):
+            x = tokens(t)
+            total += len(x)
+            pairs.update(tuple(x[a:b]) for b in range(1, len(x) + 1) for a in range(max(0, b - 20), b))
+    distinct = sum(len(k) == 1 for k in pairs)
+    after = {}
+    for g, n in pairs.items():
+        if len(g) > 1 and n >= 2:
+            after.setdefault(g[:-1], {})[g[-1]] = n
+
+    memo = {}
+
+    def prob(c, s):
+        if not c:
+            return (pairs[(s,)] + 0.1) / (total + 0.1 * (distinct + 1))
+        if (c, s) not in memo:
+            seen, size, b = after.get(c, {}), pairs[c], prob(c[1:], s)
+            if s in seen:
+                memo[c, s] = (seen[s] + 20 * b) / (size + 20)
+            elif not seen:
+                memo[c, s] = b
+            else:
+                shorter = {x: prob(c[1:], x) for x in seen}
+                memo[c, s] = b * max(1 - sum((seen[x] + 20 * shorter[x]) / (size + 20) for x in seen), 1e-12) / max(1 - sum(shorter.values()), 1e-12)
+        return memo[c, s]
+
+    states, length = set(), 1
+    while True:
+        passed = set()
+        for c, seen in after.items():
+            if len(c) == length:
+                size, shorter = pairs[c], {x: prob(c[1:], x) for x in seen}
+                other, left = max(1 - sum(n / size for n in seen.values()), 0), max(1 - sum(shorter.values()), 1e-12)
+                d = sum(n / size * math.log(n / size / shorter[x]) for x, n in seen.items()) + (other * math.log(other / left) if other > 1e-12 else 0)
+                if size * d > 0.5 * (len(seen) + 1) * math.log(total):
+                    passed.add(c)
+        if not passed:
+            break
+        states |= {c[k:] for c in passed for k in range(len(c))}
+        length += 1
+    assert max(map(len, states)) > 2 and min(pairs[c] for c in states) < 8
+
+    def score(t):
+        x, out = tokens(t), 0.0
+        for i, s in enumerate(x):
+            c = ()
+            while len(c) < i and tuple(x[i - len(c) - 1 : i]) in states:
+                c = tuple(x[i - len(c) - 1 : i])
+            out += math.log10(prob(c, s))
+        return out
+
+    want = {i: score(t) for i, t in rows}
+    for hot in (suffix_tree.HOT, 2e-2):
+        monkeypatch.setattr(suffix_tree, "HOT", hot)
+        got = {r.doc_id: r.score for r in suffix_tree.score_texts(make(rows)).collect()}
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+
+
 # ---- language
 
 
