@@ -17,6 +17,16 @@ def test_stages(spark, sf):
     assert {r.doc_id for r in cp.run(spark, sf).collect()} == ids
 
 
+def test_near_dedup_at_80(spark):
+    """18 of 22 shingles in common, a similarity of 0.818: one of the two stays; 13 of 17, 0.765: both do."""
+    words = lambda tag, k: [f"{tag}{i}" for i in range(k)]
+    near = words("a", 24)
+    far = words("b", 19)
+    rows = [(1, near), (2, [*near[:-2], "x", "y"]), (3, far), (4, [*far[2:], "p", "q"])]
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in dict(cp.STAGES)["near_dedup"](spark, docs, "").collect()) == [1, 3, 4]
+
+
 def test_names():
     assert [n for n, _ in cp.STAGES] == ["quality_classifier", "near_dedup", "substring_dedup", "decontamination", "best_fit_packing"]
     assert sorted(int(k.split("_")[0][2:]) for k in registry.QUERIES) == list(range(1, 11))
