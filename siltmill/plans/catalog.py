@@ -89,7 +89,7 @@ def _(spark, d):
 
 
 _on_documents("p6_collapse_spaces", urls.collapse_spaces, _strip(_rules(urls.SPACES)), " \t", " a \u00a0 b\u2003\n c\r\n ")
-_on_documents("p8_slug", lambda t: urls.slug(F.substring(t, 1, 60)), f"CASE WHEN {(s := _rules(urls.SLUG, _strip('lower(substr(t, 1, 60))')))} = '' THEN 'scraper_output' ELSE {s} END", " Some -_ Title! ")
+_on_documents("p8_slug", urls.slug, f"CASE WHEN {(s := _rules(urls.SLUG, _strip('lower(t)')))} = '' THEN 'scraper_output' ELSE {s} END", " Some -_ Title! ")
 
 
 @_query("p16_looks_like_date", rf"SELECT order_key, s, length(s) >= 4 AND regexp_matches(s, {quoted('|'.join(urls.DATES))}) AS is_date FROM (SELECT o_orderkey AS order_key, unnest([strftime(o_orderdate, '%Y-%m-%d'), strftime(o_orderdate, 'on %m/%d/%Y'), strftime(o_orderdate, '%B %-d, %Y'), o_orderpriority, '1-1']) AS s FROM orders)")

@@ -37,6 +37,15 @@ def test_query(spark, duck, name):
     assert got == rows([c[0] for c in r.description], r.fetchall())
 
 
+def on_texts(spark, tmp_path, name, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    return [r.v for r in sorted(catalog.QUERIES[name](spark, str(tmp_path)).collect())]
+
+
+def test_slug_takes_whole_texts(spark, tmp_path):
+    assert on_texts(spark, tmp_path, "p8_slug", ["word " * 40 + "End"]) == ["some_-_title_" + "word_" * 40 + "end"]
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
