@@ -192,11 +192,11 @@ _on_documents("f10_references", text.fold_references, f"{_strip('t')} || ' က
 _on_documents("f11_quotes", text.remove_quotes, "replace(replace(t, '\"', ' '), '\\', ' ')", '"a" \\', " \\n\"")
 _on_documents("f12_bot_lines", text.remove_bot_lines, _strip("array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT contains(lower(x), 'botupload')), chr(10))"), "BotUpload 1\n", "\nx\nby BOTUPLOAD\ny ")
 _on_documents("f13_dashes", text.fold_dashes, _strip(_rules(text.DASHES)), "--a---", " - b --")
-_on_documents("f14_tables", lambda t: pytext.convert_tables(F.concat(F.replace(t, F.lit("|"), F.lit("")), F.lit("\n| a | b \n| c | d \n"))), r"replace(t, '|', '') || chr(10) || '\begin{tabular}{cc}' || chr(10) || 'a & b \\' || chr(10) || 'c & d \\' || chr(10) || '\end{tabular}'")
-_on_documents("f15_fractions", lambda t: pytext.convert_fractions(F.concat(F.regexp_replace(t, "[0-9/]", ""), F.lit(" so exactly one half of it is 1 / 2 then"))), r"regexp_replace(t, '[0-9/]', '', 'g') || ' so exactly one half of it is $\frac{1}{2}$ then'")
+_on_documents("f14_tables", pytext.convert_tables, None, "", "\n| a | b \n| c | d \n")
+_on_documents("f15_fractions", pytext.convert_fractions, None, "", " so exactly one half of it is 1 / 2 then")
 _on_documents("f16_exponents", text.mark_exponents, _rules(text.EXPONENTS), "2^3 ", " 10 ^ 2 x^2")
 _on_documents("f17_roots", text.mark_roots, r"regexp_replace(t, 'sqrt\(([^)]+)\)', '$\\sqrt{\1}$', 'g')", "sqrt(x) ", " sqrt(a+b) sqrt()")
-_on_documents("f18_equations", lambda t: pytext.convert_equations(F.concat(F.replace(t, F.lit("="), F.lit("")), F.lit("\nx =  5, y = one right side that is much too long"))), "replace(t, '=', '') || chr(10) || '$x = 5$, y = one right side that is much too long'")
+_on_documents("f18_equations", pytext.convert_equations, None, "", "\nx =  5, y = one right side that is much too long")
 _on_documents("f19_pictures", text.remove_pictures, f"regexp_replace(regexp_replace(t, {quoted(text.PICTURES)}, '', 'g'), {quoted(text.SYMBOLS)}, '', 'g')", "★😀 漢字 ", " a → b 🚀°")
 _on_documents("f20_spacing", text.normal_spacing, _rules(text.SPACING), "\t\t x    y\n\n\n\n", "\n \n\t\n    z")
 _on_documents("f21_normal_format", lambda t: regex.strip(text.normal_spacing(text.remove_pictures(pytext.decode_entities(t)))), None, "★ a\u00a0&nbsp; b\t", "&lt;x&gt;  ")

@@ -46,6 +46,19 @@ def test_slug_takes_whole_texts(spark, tmp_path):
     assert on_texts(spark, tmp_path, "p8_slug", ["word " * 40 + "End"]) == ["some_-_title_" + "word_" * 40 + "end"]
 
 
+def test_conversions_take_documents_as_they_are(spark, tmp_path):
+    """Fractions, tables and equations of the documents themselves, beside the ones that are added."""
+    cases = {
+        "f15_fractions": [("so 3/4 is what he had of it then", "so $\\frac{3}{4}$ is what he had of it then"), ("in 2024 a|b x=y", "in 2024 a|b x=y")],
+        "f14_tables": [("|p|q\n|r|s\nend 12/3", "\\begin{tabular}{cc}\np & q \\\\\nr & s \\\\\n\\end{tabular}"), ("x = 1", "x = 1")],
+        "f18_equations": [("z = 7", "$z = 7$"), ("a|b 1/2", "a|b 1/2")],
+    }
+    for name, texts in cases.items():
+        assert name not in catalog.ORACLES
+        got = on_texts(spark, tmp_path / name, name, [t for t, _ in texts])
+        assert all(v.startswith(want) for v, (_, want) in zip(got, texts, strict=True)), got
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
