@@ -408,9 +408,14 @@ QUERIES["pipeline_clean_corpus"] = flagship
 
 @_query("pipeline_build_frontier")
 def _(spark, d):
-    p = _table(spark, d, "pages")
-    sites = p.select(F.col("url").alias("archive_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("site"), F.lit(None).cast("array<struct<category:string,archive_url:string>>").alias("archive_urls"), F.lit("0").alias("pagination_type"), F.lit(None).cast("string").alias("pagination_param"), F.lit(1).cast("long").alias("pagination_increment"))
-    return pipelines.build_frontier(sites, p, p.select("url").where("page_id < 0"), "nav > ul > li")
+    # ten pages in a row are a site's archive; every third site has its first four pages, the others all
+    g, n = F.floor(F.col("page_id") / 10).cast("string"), F.col("page_id") % 10 + 1
+    base = F.concat(F.lit("http://s"), g, F.lit(".example/"))
+    p = _table(spark, d, "pages").select("page_id", base.alias("base"), F.when(n == 1, base).otherwise(F.concat(base, F.lit("?p="), n.cast("string"))).alias("url"), "html")
+    most = F.when(F.col("page_id") % 30 == 0, 4).when(F.col("page_id") % 30 == 10, 0)
+    sites = p.where("page_id % 10 = 0").select(F.col("base").alias("archive_url"), F.concat(F.lit("s"), F.col("page_id").cast("string")).alias("site"), F.lit(None).cast("array<struct<category:string,archive_url:string>>").alias("archive_urls"), F.lit("1").alias("pagination_type"), F.lit("?p={n}").alias("pagination_param"), F.lit(1).cast("long").alias("pagination_increment"), most.cast("long").alias("max_pages"))
+    known = p.where("page_id % 7 = 0").select(F.explode(extract.extract_items(F.col("html"), F.col("url"), "nav > ul > li")).alias("i")).select("i.url")
+    return pipelines.build_frontier(sites, p, known, "nav > ul > li")
 
 
 @_query("pipeline_fetch_articles", f"SELECT md5(url) AS id, CASE WHEN length({_TITLE}) > 5 THEN {_TITLE} END AS title, url, '2024-05-06' AS scraped_date FROM pages WHERE page_id % 3 <> 0 AND length({_TITLE}) > 5")

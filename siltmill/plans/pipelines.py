@@ -62,14 +62,28 @@ def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, s
     return out.where(text.passes_gate(F.col("title"), F.col("text"), script, least)), rejects
 
 
-def build_frontier(sites: DataFrame, pages: DataFrame, frontier: DataFrame, item_selector: str, max_pages: int = 3, thumbnail_selector: str | None = None) -> DataFrame:
-    """New article URLs (site, category, url, title, thumbnail_url) of the sites' archive pages found in ``pages`` (url, html)."""
+def build_frontier(sites: DataFrame, pages: DataFrame, frontier: DataFrame, item_selector: str, max_pages: int | None = None, thumbnail_selector: str | None = None) -> DataFrame:
+    """New article URLs (site, category, url, title, thumbnail_url) of the sites' archive pages found in ``pages`` (url, html).
+
+    A site has its own max_pages unless one is given for all. Null, 0 or less is
+    unlimited: up to the fifth page in a row without items, and page 1600.
+    """
     ship(sites.sparkSession)
-    cats = relational.categories(sites).join(sites.select("site", "pagination_type", "pagination_param", "pagination_increment"), "site")
-    listed = urls.page_urls(F.col("archive_url"), urls.pagination_type(F.col("pagination_type")), F.col("pagination_param"), F.lit(max_pages), F.coalesce("pagination_increment", F.lit(1)), F.lit(None).cast("int"))
-    asked = cats.select("site", "category", "ordinal", F.explode(listed).alias("p")).select("site", "category", "ordinal", F.col("p.page").alias("page"), F.col("p.url").alias("url"))
-    got = asked.join(pages.select("url", "html"), "url")
-    items = got.select("site", "category", "ordinal", "page", F.posexplode(extract.extract_items(F.col("html"), F.col("url"), item_selector, thumbnail_selector)).alias("k", "i"))
+    own = F.col("max_pages") if "max_pages" in sites.columns else F.lit(None)
+    settings = sites.select("site", "pagination_type", "pagination_param", F.coalesce("pagination_increment", F.lit(1)).alias("increment"), F.coalesce(F.lit(max_pages or None).cast("long"), own.cast("long"), F.lit(0)).alias("most"))
+    cats = relational.categories(sites).join(settings, "site").withColumn("unlimited", F.col("most") <= 0)
+    last = F.when(~F.col("unlimited"), F.col("most")).when(F.col("increment") == 1, 1600).otherwise(1599 * F.col("increment"))
+    listed = urls.page_urls(F.col("archive_url"), urls.pagination_type(F.col("pagination_type")), F.col("pagination_param"), last, F.col("increment"), F.lit(None).cast("int"))
+    at = ["site", "category", "ordinal", "page"]
+    asked = cats.select("site", "category", "ordinal", "unlimited", F.explode(listed).alias("p")).select("site", "category", "ordinal", "unlimited", F.col("p.page").alias("page"), F.col("p.url").alias("url"))
+    got = asked.join(pages.select("url", "html"), "url").withColumn("found", extract.extract_items(F.col("html"), F.col("url"), item_selector, thumbnail_selector))
+    # the base page doesn't count among the empty ones
+    probed = (F.col("unlimited")) & (F.col("page") > 1)
+    sizes = got.where(probed).groupBy(*at).agg(F.max(F.size("found")).alias("n"))
+    numbered = asked.where(probed).select(*at).join(sizes, at, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    reached = relational.until_empty(numbered, at[:3], "page", "n").select(*at)
+    got = got.where(~probed).unionByName(got.where(probed).join(reached, at, "left_semi").select(*got.columns))
+    items = got.select(*at, F.posexplode("found").alias("k", "i"))
     rows = items.select("i.url", F.struct("ordinal", "page", "k").alias("position"), "site", "category", "i.title", "i.thumbnail_url")
     return relational.unseen(relational.keep_first(rows, ["url"], ["position"]), frontier, "url").drop("position")
 

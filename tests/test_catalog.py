@@ -64,3 +64,16 @@ def test_entry(spark):
 
     assert e.entry(spark).columns == ["site", "id", "title", "text", "domain", "url"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_frontier_follows_each_sites_pages(spark):
+    """A site's own max_pages; null and 0 go on to the fifth empty page in a row, past single empty ones; known URLs leave."""
+    from siltmill.plans import pipelines
+
+    page = lambda *names: "<ul>" + "".join(f'<li><a href="/{x}">title of {x}</a></li>' for x in names) + "</ul>"
+    html = [(f"http://{s}.x/" + (f"?p={n}" if n > 1 else ""), page(f"{s}{n}")) for s in "abc" for n in (1, 2, 3, 4, 6, 11, 17)]
+    pages = spark.createDataFrame([*html, ("http://c.x/?p=5", page())], "url string, html string")
+    sites = spark.createDataFrame([(s, f"http://{s}.x/", None, "1", "?p={n}", 1, most) for s, most in (("a", 2), ("b", None), ("c", 0))], "site string, archive_url string, archive_urls array<struct<category:string,archive_url:string>>, pagination_type string, pagination_param string, pagination_increment long, max_pages long")
+    known = spark.createDataFrame([("http://b.x/b4",)], "url string")
+    got = {r.url.rsplit("/", 1)[1] for r in pipelines.build_frontier(sites, pages, known, "li").collect()}
+    assert got == {"a1", "a2", "b1", "b2", "b3", "b6", "b11", "c1", "c2", "c3", "c4", "c6", "c11"}
