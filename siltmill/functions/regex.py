@@ -8,6 +8,7 @@ how the queries and their oracles stay one definition.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -35,6 +36,16 @@ def java(pattern: str) -> str:
     return pattern.replace("(?i)", "(?iu)").replace("(?m)", "(?md)")
 
 
+def python(pattern: str) -> str:
+    """The same for Python's re."""
+    pattern = re.sub(r"\\x\{([0-9a-fA-F]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", pattern)
+    return pattern.replace(r"\z", r"\Z").replace(r"\p{Nd}", r"\d")
+
+
+def compiled(rules: list[Rule]) -> list[tuple[re.Pattern, str]]:
+    return [(re.compile(python(r.pattern)), r.to) for r in rules]
+
+
 def _java_to(to: str) -> str:
     out = to.replace("$", "\\$")
     for k in range(1, 10):
@@ -76,9 +87,13 @@ def let(col: Column, body) -> Column:
     return F.transform(F.array(col), body)[0]
 
 
+#: Letters that match s, k, i and i where case is ignored.
+FOLDED = "\u017f\u212a\u0130\u0131"
+
+
 def fold(text: Column) -> Column:
-    """Lower case for a look at which words occur: also of the two letters that only case folding maps to ASCII."""
-    return F.translate(F.lower(text), "\u017f\u212a", "sk")
+    """Lower case for a look at which words occur: also of the letters that only case folding maps to ASCII."""
+    return F.lower(F.translate(text, FOLDED, "skii"))
 
 
 def where_found(col: Column, words: list[str], rules: list[Rule]) -> Column:

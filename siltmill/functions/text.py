@@ -35,18 +35,18 @@ BUTTON_WORDS = ("share", "like", "comment", "subscribe", "follow", "tweet", "fac
 BUTTONS = [Rule(rf"(?i)\[?{WS}*{w}{WS}*\]?") for w in BUTTON_WORDS]
 BOILERPLATE = NAVIGATION + ADS + LEGAL + BUTTONS
 #: A word that every match of the rule with the same place holds.
-_ANCHORS = ["menu", "navigation", "breadcrumb", "home", "သင်္ကေတ", "မူလစာမျက်နှာ", "advertisement", "sponsored", "ad", "ကြော်ငြာ", "click", "read", "continue"]
-_ANCHORS += ["copyright", "reserved", "disclaimer", "term", "privacy", "မူပိုင်ခွင့်", "တရားဝင်", *BUTTON_WORDS]
+ANCHORS = ["menu", "navigation", "breadcrumb", "home", "သင်္ကေတ", "မူလစာမျက်နှာ", "advertisement", "sponsored", "ad", "ကြော်ငြာ", "click", "read", "continue"]
+ANCHORS += ["copyright", "reserved", "disclaimer", "term", "privacy", "မူပိုင်ခွင့်", "တရားဝင်", *BUTTON_WORDS]
 
 # Marks of text in another encoding, in the order in which they are looked for.
 ZAWGYI_MARKS = ("ZG ", "Zawgyi ", "ZAWGYI", "[Zawgyi]", "ZawGyi")
 
 QUOTES = [Rule(r'["\\]', " ")]
 DASHES = [Rule("-{2,}", " - ")]
-_AGENCY = (r"\([Xx][Ii][Nn][Hh][Uu][Aa]/[^)]+\)", r"\([Xx][Ii][Nn][Hh][^\n]*?\)", r"\([Xx][Ii][Nn][Hh][Uu][Aa]\)", r"\(ဆင်ဟွာ\)")
+AGENCY_FORMS = (r"\([Xx][Ii][Nn][Hh][Uu][Aa]/[^)]+\)", r"\([Xx][Ii][Nn][Hh][^\n]*?\)", r"\([Xx][Ii][Nn][Hh][Uu][Aa]\)", r"\(ဆင်ဟွာ\)")
 AGENCY = [Rule(r"(?m)————[^\n]*$")]
-AGENCY += [Rule(rf"{WS}*{p}{WS}*[.။]*{WS}*\z") for p in _AGENCY]
-AGENCY += [Rule(p) for p in _AGENCY]
+AGENCY += [Rule(rf"{WS}*{p}{WS}*[.။]*{WS}*\z") for p in AGENCY_FORMS]
+AGENCY += [Rule(p) for p in AGENCY_FORMS]
 AGENCY += [Rule("(?m)^…+")]
 # In order: the first that occurs anywhere cuts the text, from the last letter before it.
 VERSIONS = [rf"(?is)[^a-zA-Z{MYANMAR}]*\(?{lang}{WS}*{form}\)?.*" for lang in ("english", "chinese") for form in ("vers?i?o?n+", "versi+on+")]
@@ -76,13 +76,6 @@ def remove_tags(text: Column) -> Column:
     return apply(text, TAGS)
 
 
-def remove_boilerplate(text: Column) -> Column:
-    """Navigation, advertising, legal lines and buttons; words are found inside other words too."""
-    for word, rule in zip(_ANCHORS, BOILERPLATE, strict=True):
-        text = where_found(text, [word], [rule])
-    return strip(text)
-
-
 def remove_keywords(text: Column, keywords: Column) -> Column:
     """Every literal keyword, in the array's order; empty and null ones are skipped."""
     return F.when(keywords.isNull(), text).otherwise(F.aggregate(F.filter(keywords, lambda k: F.coalesce(k, F.lit("")) != ""), text, lambda t, k: F.replace(t, k, F.lit(""))))
@@ -179,8 +172,8 @@ VALID = rf"[{MYANMAR}\p{{L}}\p{{N}}_{WS_BODY}.,!?;:()\"'\-]"
 
 
 def valid_ratio(text: Column) -> Column:
-    """The share of ordinary characters; null for an empty text."""
-    return F.regexp_count(text, F.lit(VALID)) / F.when(F.length(text) > 0, F.length(text))
+    """The share of ordinary characters; null for an empty text. The others are taken out and the rest is measured, as matches of a pattern that is counted would all be gathered."""
+    return F.length(F.regexp_replace(text, f"[^{VALID[1:]}+", "")) / F.when(F.length(text) > 0, F.length(text))
 
 
 def _sound(text: Column, least: float, letters: int, myanmar: int, digits: int) -> Column:
@@ -198,8 +191,9 @@ def passes_severe(text: Column) -> Column:
     return _sound(text, 0.5, 50, 100, 30)
 
 
-def passes_gate(title: Column, text: Column, script: str | None = MYANMAR, least: int = 1000) -> Column:
-    """Title and text, the wanted script in either (None: any), ``least`` code points of text, and ``passes_severe``."""
-    title, text = strip(F.coalesce(title, F.lit(""))), strip(F.coalesce(text, F.lit("")))
+def passes_gate(title: Column, text: Column, script: str | None = MYANMAR, least: int = 1000, stripped: bool = False) -> Column:
+    """Title and text, the wanted script in either (None: any), ``least`` code points of text, and ``passes_severe``. Texts may be known to be ``stripped``."""
+    if not stripped:
+        title, text = strip(F.coalesce(title, F.lit(""))), strip(F.coalesce(text, F.lit("")))
     wanted = F.lit(True) if script is None else title.rlike(f"[{script}]") | text.rlike(f"[{script}]")
     return (title != "") & (text != "") & wanted & (F.length(text) >= least) & passes_severe(text)

@@ -251,12 +251,32 @@ def _fits(e: Element, parts: tuple[Compound, ...]) -> bool:
     return False
 
 
+@lru_cache(maxsize=4096)
+def _quick(text: str) -> tuple[frozenset[str], frozenset[str], tuple[tuple[Compound, ...], ...]]:
+    """A selector's alternatives that are only a tag or only a class, and the others."""
+    tags, classes, rest = set(), set(), []
+    for a in selector(text):
+        one = a[0] if len(a) == 1 else None
+        if one and not one.tests and one.tag != "*":
+            tags.add(one.tag)
+        elif one and one.tag == "*" and len(one.tests) == 1 and one.tests[0][0] == "class":
+            classes.add(one.tests[0][1])
+        else:
+            rest.append(a)
+    return frozenset(tags), frozenset(classes), tuple(rest)
+
+
+def _matching(root: Element, text: str) -> Iterator[Element]:
+    tags, classes, rest = _quick(text)
+    for e in root.elements():
+        if e.name in tags or (classes and (own := e.attrs.get("class")) and not classes.isdisjoint(own.split())) or (rest and any(_fits(e, a) for a in rest)):
+            yield e
+
+
 def select(root: Element, text: str) -> list[Element]:
     """Elements below ``root`` that fit, in document order."""
-    alternatives = selector(text)
-    return [e for e in root.elements() if any(_fits(e, a) for a in alternatives)]
+    return list(_matching(root, text))
 
 
 def select_one(root: Element, text: str) -> Element | None:
-    alternatives = selector(text)
-    return next((e for e in root.elements() if any(_fits(e, a) for a in alternatives)), None)
+    return next(_matching(root, text), None)

@@ -96,17 +96,23 @@ def items(page: str | None, base: str, item_selector: str, thumbnail_selector: s
     return out
 
 
+#: Names whose class and id selectors say no more than a look at the attributes.
+_PLAIN = re.compile(r"[A-Za-z_][\w-]*")
+
+
 def prune(root: Element, classes: list[str]) -> None:
     """Drop elements by part of a class, by id, and by the list above. Without classes nothing is dropped."""
     if not classes:
         return
     for c in filter(None, classes):
-        gone = [e for e in root.elements() if (own := e.attrs.get("class")) and (c in " ".join(own.split()))]
-        for e in gone + _try_select(root, f".{c}") + _try_select(root, f"#{c}"):
-            e.remove()
-    for s in UNWANTED:
-        for e in _try_select(root, s):
+        plain = _PLAIN.fullmatch(c)
+        gone = [e for e in root.elements() if ((own := e.attrs.get("class")) and c in " ".join(own.split())) or (plain and e.attrs.get("id") == c)]
+        if not plain:
+            gone += _try_select(root, f".{c}") + _try_select(root, f"#{c}")
+        for e in gone:
             e.remove()
+    for e in select(root, ", ".join(UNWANTED)):
+        e.remove()
 
 
 def _images(root: Element, base: str) -> None:

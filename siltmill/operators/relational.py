@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key in the given order; ties fall to all other columns, so the result is one.
+    """The first row of each key in the given order; ties fall to all other columns, so the result is one. Null keys are one key.
 
-    A minimum of structs, not a window: it is pre-aggregated, so a key that many
-    rows have sends one row per task. Null keys are one key.
+    A row number limited to 1: Spark keeps the first rows of each key before the
+    exchange as well as behind it, so a key that many rows have sends one row per
+    task, and wide columns move once.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("__first"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"__first.{c}").alias(c) for c in df.columns])
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
+    return df.withColumn("__k", F.row_number().over(w)).where(F.col("__k") == 1).drop("__k")
 
 
 def unseen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:

@@ -183,7 +183,7 @@ _AFTER = "\nMenu: a b\nHome › x\nread  more of it\nCopyright © 2024 someone\n
 _on_documents("f3_keywords", lambda t: text.remove_keywords(t, F.array(*map(F.lit, ("the", "", "en de", "[x]")))), "replace(replace(replace(t, 'the', ''), 'en de', ''), '[x]', '')", "", " [x] ")
 _on_documents("f5_zawgyi_cut", lambda t: text.cut_zawgyi(F.concat(t, F.when(F.length(t) % 2 == 0, "[Zawgyi] x ZG y").otherwise(""))), "CASE WHEN length(t) % 2 = 0 THEN t || '[Zawgyi] x ' ELSE t END")
 _on_documents("f6_tags", text.remove_tags, _rules(text.TAGS), "<p class='a'>", "<br/> 1 < 2 </p>")
-_on_documents("f7_boilerplate", text.remove_boilerplate, _strip(_rules(text.BOILERPLATE)), "", _AFTER)
+_on_documents("f7_boilerplate", pytext.remove_boilerplate, _strip(_rules(text.BOILERPLATE)), "", _AFTER)
 _on_documents("f8_decode", pytext.decode_entities, r"regexp_replace(t, '[\x00-\x1f\x7f]', '', 'g') || '<b> & x y>'", "", "&lt;b&gt; &amp;amp; x\u200b\u00a0&foo;y&amp;gt;", bare=True)
 _cut = "CASE " + " ".join(f"WHEN {_has('a', p)} THEN {_rules([regex.Rule(p)], 'a')}" for p in text.VERSIONS) + " ELSE a END"
 QUERIES["f9_agency"] = lambda spark, d: _table(spark, d, "documents").select("doc_id", text.remove_agency(F.concat("text", F.when(F.col("doc_id") % 3 == 0, ", (Chinese Version) q").when(F.col("doc_id") % 3 == 1, "\n…… x ————tail\n (Xinhua/Name).").otherwise(" . English versiion z"))).alias("v"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltmill.functions import pytext, text, urls
-from siltmill.functions.regex import MYANMAR, strip
+from siltmill.functions.regex import MYANMAR
 from siltmill.operators import extract, relational
 from siltmill.ship import ship
 from siltmill.sources.config import CLEANING_DEFAULTS
@@ -18,25 +20,33 @@ Hook = Callable[[Column], Column]
 
 
 def clean_title(df: DataFrame, title: str, keywords: str, out: str, to_unicode: Hook | None = None) -> DataFrame:
-    """The title steps, one column after another, so that no expression holds another twice."""
-    c = F.col(out)
-    df = df.withColumn(out, F.coalesce(title, F.lit("")))
-    df = df.withColumn(out, text.remove_keywords(to_unicode(c) if to_unicode else c, F.col(keywords)))
-    df = df.withColumn(out, pytext.decode_entities(c))
-    for step in (text.remove_agency, text.fold_references, text.remove_quotes, text.remove_bot_lines, text.fold_dashes, urls.collapse_spaces):
-        df = df.withColumn(out, step(c))
-    return df
+    """The title steps in one Arrow step. A ``to_unicode`` hook, such as a converter of another encoding, comes first."""
+    t = F.coalesce(title, F.lit(""))
+    return df.withColumn(out, pytext.clean_titles(to_unicode(t) if to_unicode else t, F.col(keywords)))
 
 
 def clean_text(df: DataFrame, source: str, keywords: str, out: str, to_unicode: Hook | None = None, strict: bool = False) -> DataFrame:
-    """The text steps. Decoding drops newlines, so patterns to the end of a line reach the end of the text; ``strict`` has a narrower range of pictures."""
-    c = F.col(out)
-    df = df.withColumn(out, pytext.decode_entities(text.remove_tags(F.coalesce(source, F.lit("")))))
-    df = df.withColumn(out, text.remove_boilerplate(c))
-    df = df.withColumn(out, text.remove_keywords(to_unicode(c) if to_unicode else c, F.col(keywords)))
-    for step in (text.cut_zawgyi, text.remove_agency, text.fold_references, text.remove_quotes, text.remove_bot_lines, text.fold_dashes, pytext.convert_and_decode):
-        df = df.withColumn(out, step(c))
-    return df.withColumn(out, strip(text.normal_spacing(text.remove_pictures(c, strict))))
+    """The text steps in one Arrow step, or two around a ``to_unicode`` hook. Decoding drops newlines, so patterns to the end of a
+    line reach the end of the text; ``strict`` has a narrower range of pictures."""
+    t = F.coalesce(source, F.lit(""))
+    if to_unicode is None:
+        return df.withColumn(out, pytext.clean_texts(strict)(t, F.col(keywords)))
+    return df.withColumn(out, to_unicode(pytext.begin_texts(t))).withColumn(out, pytext.finish_texts(strict)(F.col(out), F.col(keywords)))
+
+
+def _whole(title: str, image: str, text: str) -> str:
+    return f"{title} {f'[IMAGE : {image}] ' if image else ''}{text}".strip()
+
+
+@F.pandas_udf(T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType())]))
+def _articles(title: pd.Series, page: pd.Series, url: pd.Series, image_selector: pd.Series, text_selector: pd.Series, classes: pd.Series, title_words: pd.Series, text_words: pd.Series) -> pd.DataFrame:
+    """Clean title and text of each page: one parse and one crossing."""
+    rows = []
+    for t, p, u, i, m, c, tk, xk in zip(title, page, url, image_selector, text_selector, classes, title_words, text_words, strict=True):
+        image, text = extract.body(p, u, i, m, list(c) if c is not None else None)
+        name = pytext.title_steps(t or "", tk)
+        rows.append((name, _whole(name, image, pytext.last_steps(pytext.first_steps(text), xk))))
+    return pd.DataFrame(rows, columns=["title", "text"], dtype=object)
 
 
 def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, script: str | None = MYANMAR, least: int = 1000, to_unicode: Hook | None = None) -> tuple[DataFrame, DataFrame]:
@@ -44,22 +54,26 @@ def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, s
 
     The first record of a site's id is chosen before any text is touched: ids
     don't depend on texts, and a first record that fails the gate suppresses
-    later ones, as is defined. Records of all sites go in one plan.
+    later ones, as is defined. Records of all sites go in one plan. The Arrow
+    step is marked so that the gate's filter isn't moved below it, where it
+    would be computed a second time.
     """
     ship(lines.sparkSession)
     rows, rejects = parse_records(lines.where(F.col("site") == site) if site else lines)
     rows = rows.select("site", "place", urls.article_id(F.col("url")).alias("id"), "url", "title", "raw_html_content")
     first = relational.keep_first(rows, ["site", "id"], ["place"])
     df = relational.lookup(first, config, CLEANING_DEFAULTS)
-    body = extract.extract_body(F.col("raw_html_content"), F.col("url"), F.col("feature_image_selector"), F.col("main_text_selector"), F.col("removal_classes"))
-    df = df.withColumn("__body", body)
-    df = clean_title(df, "title", "title_removal_keywords", "__title", to_unicode)
-    df = df.withColumn("__raw", F.col("__body.main_text"))
-    df = clean_text(df, "__raw", "text_removal_keywords", "__text", to_unicode)
-    image = F.col("__body.feature_image")
-    whole = strip(F.concat(F.col("__title"), F.lit(" "), F.when(image != "", F.concat(F.lit("[IMAGE : "), image, F.lit("] "))).otherwise(""), F.col("__text")))
-    out = df.select("site", "id", F.col("__title").alias("title"), whole.alias("text"), "domain", "url")
-    return out.where(text.passes_gate(F.col("title"), F.col("text"), script, least)), rejects
+    settings = [F.col(c) for c in ("feature_image_selector", "main_text_selector", "removal_classes", "title_removal_keywords", "text_removal_keywords")]
+    if to_unicode is None:
+        a = _articles.asNondeterministic()(F.col("title"), F.col("raw_html_content"), F.col("url"), *settings)
+        out = df.select("site", "id", a.alias("a"), "domain", "url").select("site", "id", "a.title", "a.text", "domain", "url")
+    else:
+        df = df.withColumn("__body", extract.extract_body(F.col("raw_html_content"), F.col("url"), *settings[:3]))
+        df = clean_title(df, "title", "title_removal_keywords", "__title", to_unicode)
+        df = clean_text(df.withColumn("__raw", F.col("__body.main_text")), "__raw", "text_removal_keywords", "__text", to_unicode)
+        whole = F.pandas_udf(lambda t, i, x: pd.Series([_whole(*r) for r in zip(t, i, x, strict=True)], dtype=object), T.StringType()).asNondeterministic()
+        out = df.select("site", "id", F.col("__title").alias("title"), whole(F.col("__title"), F.col("__body.feature_image"), F.col("__text")).alias("text"), "domain", "url")
+    return out.where(text.passes_gate(F.col("title"), F.col("text"), script, least, stripped=True)), rejects
 
 
 def build_frontier(sites: DataFrame, pages: DataFrame, frontier: DataFrame, item_selector: str, max_pages: int | None = None, thumbnail_selector: str | None = None) -> DataFrame:

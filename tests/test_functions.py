@@ -24,7 +24,7 @@ def values(spark, f, inputs):
         (text.cut_zawgyi, [("a ZG b", "a "), ("x [Zawgyi] y ZG z", "x [Zawgyi] y "), ("none", "none"), (None, None)]),
         (text.remove_agency, [("A (Xinhua) mid text (end)", "A"), ("x (Xinhua/Name).", "x"), ("a\n————tail\nb", "a\n\nb"), ("one, (English version) y", "one"), ("one (Chinese version) two (English version)", "one (Chinese version) two"), ("…… x", "x")]),
         (text.fold_references, [("a == ကိုးကား == ", "a"), ("a  ==ကိုးကား== b", "a ကိုးကား b"), (" a ", "a")]),
-        (text.remove_boilerplate, [("They had lunch. Then left.", "They h"), ("a menu: b\nc", "a \nc"), ("x [ Share ] y", "x  y"), ("x share y", "xy")]),
+        (pytext.remove_boilerplate, [("They had lunch. Then left.", "They h"), ("a menu: b\nc", "a \nc"), ("x [ Share ] y", "x  y"), ("x share y", "xy")]),
         (text.remove_bot_lines, [("a\nby BotUpload\nb", "a\nb")]),
         (text.fold_dashes, [("a----b", "a - b"), ("-", "-")]),
         (text.mark_exponents, [("2^3", "$2^{3}$")]),
