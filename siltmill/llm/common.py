@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 from siltmill.ship import ship
 
 _OWN: list[str] = []
+#: Spark's defaults for the bytes of an Arrow batch.
+_SIZES = ("268435456", "268435456b", "256MB", "2147483647", "9223372036854775807")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, from spark.checkpoint.dir; a temporary folder only where that is unset."""
+    """The shared folder of the cluster, from spark.checkpoint.dir. Where that is unset, a temporary folder if the session is
+    local, with driver and executors in one process; else an error, as executors can't see each other's disks."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="siltmill-shared-"))
+        atexit.register(shutil.rmtree, _OWN[0].removeprefix("file://"), True)
     return _OWN[0]
 
 
@@ -33,15 +42,33 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._siltmill_path = path
+    return out
+
+
+def removed(*tables: DataFrame | None) -> None:
+    """Delete tables of ``written`` that nothing reads any more, through Spark's own file system."""
+    for t in tables:
+        path = getattr(t, "_siltmill_path", None)
+        if path:
+            jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def prepare(df: DataFrame) -> SparkSession:
-    """Make the package known to the executors, and batches of texts small where their size is still Spark's default."""
-    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    """Make the package known to the executors, and bound Arrow's batches of texts where their limits are still Spark's defaults.
+
+    A batch has at most 2,000 rows and about 8 MB, so that neither a task's buffers nor its Python worker grow with the
+    lengths of texts. A session that sets its own limits keeps them.
+    """
+    spark, rows, size = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
     ship(spark)
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, "2000")
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "2000")
+    if spark.conf.get(size) in _SIZES:
+        spark.conf.set(size, "8m")
     return spark
 
 

@@ -52,11 +52,8 @@ def units(x: W.Words) -> tuple[np.ndarray, np.ndarray]:
 def digests(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 bits of each unit's words."""
     last = np.append(first[1:], len(h))
-    up, down = W.powers(len(h))
-    out = []
-    for v in (h, W.mix(h ^ W.U(0x5851F42D4C957F2D))):
-        total = np.concatenate([np.zeros(1, W.U), np.cumsum(v * up[: len(h)])])
-        out.append(W.mix((total[last] - total[first]) * down[first] + (last - first).astype(W.U)))
+    second = lambda lo, hi: W.mix(h[lo:hi] ^ W.U(0x5851F42D4C957F2D))
+    out = [W.range_hashes(v, len(h), first, last) for v in (lambda lo, hi: h[lo:hi], second)]
     return out[0].view(np.int64), (out[1] >> W.U(33)).astype(np.int32)
 
 

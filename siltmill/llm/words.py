@@ -98,24 +98,62 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _sum_of(value, lo: int, hi: int) -> int:
+    """The polynomial of one long range, block by block."""
+    total, factor = 0, 1
+    for a in range(lo, hi, CHUNK):
+        v = value(a, min(a + CHUNK, hi))
+        total += factor * int((v * powers(len(v))[0][: len(v)]).sum(dtype=U))
+        factor = factor * pow(_P, len(v), 1 << 64) % (1 << 64)
+    return total % (1 << 64)
+
+
+def range_hashes(value, n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mixed hashes of ranges of the n values that ``value(lo, hi)`` gives. A range's hash doesn't depend on where it stands,
+    so prefix sums are taken over pieces, and memory is that of a piece however long a text is."""
+    if n <= 2 * CHUNK:
+        up, down = powers(n)
+        total = np.zeros(n + 1, U)
+        np.cumsum(value(0, n) * up[:n], out=total[1:])
+        return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+    out = np.empty(len(start), U)
+    order = np.argsort(start, kind="stable")
+    a, b = start[order], end[order]
+    reach = np.maximum.accumulate(b) if len(b) else b
+    i = 0
+    while i < len(a):
+        lo = int(a[i])
+        j = max(i + 1, int(np.searchsorted(reach, lo + CHUNK, "right")))
+        hi = int(b[i:j].max())
+        if hi - lo > CHUNK:
+            out[order[i]] = mix(np.array([(_sum_of(value, lo, hi) + hi - lo) % (1 << 64)], U))[0]
+        else:
+            up, down = powers(hi - lo)
+            total = np.zeros(hi - lo + 1, U)
+            np.cumsum(value(lo, hi) * up[: hi - lo], out=total[1:])
+            s, e = a[i:j] - lo, b[i:j] - lo
+            out[order[i:j]] = mix((total[e] - total[s]) * down[s] + (e - s).astype(U))
+        i = j
+    return out
+
+
 def hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _VALUE) -> np.ndarray:
     """Mixed 64-bit hashes of byte ranges."""
-    n = len(buf)
-    up, down = powers(n)
-    total = np.zeros(n + 1, U)
-    np.cumsum(value[buf] * up[:n], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+    return range_hashes(lambda lo, hi: value[buf[lo:hi]], len(buf), start, end)
 
 
 def split(buf: np.ndarray, offsets: np.ndarray, kind: str) -> Words:
     """The words of the texts that ``offsets`` cuts ``buf`` into."""
-    n = len(buf)
-    inside = np.zeros(n + 2, bool)
-    inside[1:-1] = CLASSES[kind][buf]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
-    end = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:])) + 1
+    n, found = len(buf), []
+    for lo in range(0, n, 4 * CHUNK):  # in pieces, for the flags of one
+        hi = min(n, lo + 4 * CHUNK)
+        inside = np.zeros(hi - lo + 2, bool)
+        a, b = max(lo - 1, 0), min(hi + 1, n)
+        inside[a - lo + 1 : b - lo + 1] = CLASSES[kind][buf[a:b]]
+        cut = np.zeros(hi - lo + 1, bool)
+        cut[offsets[np.searchsorted(offsets, lo) : np.searchsorted(offsets, hi, "right")] - lo] = True
+        found.append((np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1])) + lo, np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:])) + lo + 1))
+    start, end = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
     return Words(buf, start, end, hashes(buf, start, end), np.searchsorted(start, offsets), offsets)
 
 
