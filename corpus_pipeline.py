@@ -30,8 +30,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # five words and 0.8; with 36 bands a lone pair at 0.8 is missed as rarely as one at 0.85 with op4's 24
-    return neardup.drop_near_duplicates(docs, percent=80, bands=36)
+    return neardup.drop_near_duplicates(docs)  # five words and 0.8
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
