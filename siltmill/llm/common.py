@@ -6,14 +6,20 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.ship import ship
 
+#: A bitmap has 8 to 16 bits for each of its keys, but no more than 2 ** MOST_BITS (8 MB).
+MOST_BITS = 26
 _OWN: list[str] = []
+_MADE: list[str] = []
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Spark's defaults for the bytes of an Arrow batch.
 _SIZES = ("268435456", "268435456b", "256MB", "2147483647", "9223372036854775807")
 
@@ -38,23 +44,49 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table to the shared folder and read it again: later steps survive lost executors and don't compute it anew."""
+    """Write a table to the shared folder and read it again: later steps survive lost executors and don't compute it anew.
+
+    The shuffle files of the write go when it is done, so that those of many steps don't add up on the disks.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    old = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, old)
+    _MADE.append(path)
     out = spark.read.parquet(path)
     out._siltmill_path = path
     return out
 
 
-def removed(*tables: DataFrame | None) -> None:
-    """Delete tables of ``written`` that nothing reads any more, through Spark's own file system."""
+def made() -> int:
+    """How many tables have been written; see ``remove_since``."""
+    return len(_MADE)
+
+
+def remove_since(spark: SparkSession, mark: int, *kept: DataFrame) -> None:
+    """Delete the tables written since ``made()`` gave ``mark``, but those that are still read."""
+    stay = {getattr(t, "_siltmill_path", None) for t in kept}
+    for path in _MADE[mark:]:
+        if path not in stay:
+            delete(spark, path)
+    _MADE[mark:] = [p for p in _MADE[mark:] if p in stay]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store it is, through Spark's file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
     for t in tables:
-        path = getattr(t, "_siltmill_path", None)
-        if path:
-            jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        if path := getattr(t, "_siltmill_path", None):
+            delete(t.sparkSession, path)
 
 
 def prepare(df: DataFrame) -> SparkSession:
@@ -124,3 +156,33 @@ def separate(df: DataFrame) -> DataFrame:
     both sides are exchanged for the join, so it can, or broadcast a small side.
     """
     return df.hint("rebalance")
+
+
+def columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a bounded table, by Arrow: rows as Python objects would fill the driver."""
+    return [c.to_numpy() for c in df.toArrow().columns]
+
+
+@dataclass
+class Bits:
+    """A bitmap of 64-bit keys by their first bits: says yes to all its keys and to few others while it isn't full."""
+
+    words: np.ndarray
+    size: int
+    keys: int
+
+    @staticmethod
+    def of(df: DataFrame) -> Bits:
+        """The bitmap of the column k. Tasks send only words of it."""
+        keys = df.count()
+        size = min(MOST_BITS, max(10, (8 * keys).bit_length()))
+        place = f"shiftrightunsigned(k, {64 - size})"
+        rows = df.groupBy(F.expr(f"shiftrightunsigned(k, {70 - size})").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b"))
+        at, bits = columns(rows)
+        words = np.zeros(1 << (size - 6), np.uint64)
+        words[at] = bits.view(np.uint64)
+        return Bits(words, size, keys)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        k = h >> np.uint64(64 - self.size)
+        return (self.words[(k >> np.uint64(6)).astype(np.int64)] >> (k & np.uint64(63)) & np.uint64(1)).astype(bool)

@@ -7,14 +7,16 @@ marked, and the word itself (the lexicon), all hashed into one table. Learned
 transitions tie neighbours, so a short word follows its surroundings, while a
 passage in another language may switch. Marginals come from forward-backward;
 a document's language is that of the largest sum of its words' marginals, and
-its score the share of that sum.
+its score the share of that sum. ``label_words`` gives every word's own label.
 
 The weights are fitted by full-batch Adam on the exact likelihood of labelled
 documents whose crc32(doc_id as text) mod 4 is not 2. The fit takes a bounded
-sample of them, ``SAMPLE`` documents with the least hashes (a documented
-parameter); every word of them counts. Lines of several training documents are
-joined at random into code-switched ones, so that transitions between languages
-are learned too.
+sample of them, about ``SAMPLE`` documents and ``SAMPLE_BYTES`` bytes (documented
+parameters), dealt evenly to the languages, those with the least hashes of each
+and long ones last, so that a rare language has its share; every word of them
+counts. A chain is a line, cut at newlines and every ``LINE`` words, in the fit as
+in use. Lines of several training documents are joined at random into
+code-switched ones, so that transitions between languages are learned too.
 
 Defined cases: a null text and a text without a letter is ``und`` with score 0;
 so is everything if nothing can be learned; ties go to the language first in
@@ -27,14 +29,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import least_hashed, prepare, table
+from siltmill.llm.common import prepare, table
 
-SAMPLE, BITS, STEPS, LINE, FOLDS, HELD = 1500, 18, 40, 32, 4, 2
-_RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
+SAMPLE, SAMPLE_BYTES, LONG, BITS, STEPS, LINE, FOLDS, HELD = 1500, 8 << 20, 64 << 10, 18, 40, 32, 4, 2
+_RESULT = "doc_id long, held_out boolean, lang_pred string, score double, n_words long, n_switches long"
+_WORDS = "doc_id long, word_no long, word string, lang string, marginal double"
 _LETTER = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 
 
@@ -112,6 +115,17 @@ def marginals(emit: np.ndarray, trans: np.ndarray, start: np.ndarray, lengths: n
     return gamma, pairs, float(total)
 
 
+def lines_of(x: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of each chain: lines of one text, cut every ``LINE`` words."""
+    text_of, n = x.text_of(), len(x.hash)
+    line = np.concatenate([[0], np.cumsum(x.buf == 10)])[x.start]
+    new = np.concatenate([[True], (line[1:] != line[:-1]) | (text_of[1:] != text_of[:-1])])
+    at = np.flatnonzero(new)
+    place = np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))
+    at = np.flatnonzero(place % LINE == 0)
+    return at, np.diff(np.append(at, n))
+
+
 class Field:
     """A learned field: weights by label and slot, transitions and starts."""
 
@@ -119,31 +133,22 @@ class Field:
         self.labels, self.weights, self.trans, self.start = labels, weights, trans, start
         self.bits = int(weights.shape[1] - 1).bit_length() if len(labels) else 0
 
-    def totals(self, x: W.Words) -> np.ndarray:
-        """Sums of word marginals by text and label."""
-        out = np.zeros((len(x.counts), len(self.labels)))
+    def words(self, x: W.Words) -> np.ndarray:
+        """Marginals by word and label."""
+        out = np.zeros((len(x.hash), len(self.labels)))
         if not len(x.hash) or not self.labels:
             return out
         first, kind = types_of(x.hash)
         emit = potentials(self.weights, *word_features(x, first, self.bits))
-        # lines of at most LINE words of one text
-        text_of = x.text_of()
-        cut = np.concatenate([[0], np.cumsum(x.buf == 10)])
-        line = cut[x.start]
-        new = np.concatenate([[True], (line[1:] != line[:-1]) | (text_of[1:] != text_of[:-1])])
-        at = np.flatnonzero(new)
-        place = np.arange(len(kind)) - np.repeat(at, np.diff(np.append(at, len(kind))))
-        at = np.flatnonzero(place % LINE == 0)
-        size = np.diff(np.append(at, len(kind)))
+        at, size = lines_of(x)
         order = np.argsort(size, kind="stable")
         for lo in range(0, len(order), 4096):
             rows = order[lo : lo + 4096]
-            longest = int(size[rows].max())
-            p = at[rows][:, None] + np.minimum(np.arange(longest)[None, :], size[rows][:, None] - 1)
+            places = np.arange(int(size[rows].max()))[None, :]
+            inside = places < size[rows][:, None]
+            p = at[rows][:, None] + np.minimum(places, size[rows][:, None] - 1)
             gamma, _, _ = marginals(emit[kind[p]], self.trans, self.start, size[rows])
-            sums = gamma.sum(axis=1)
-            for k in range(len(self.labels)):
-                out[:, k] += np.bincount(text_of[at[rows]], sums[:, k], len(out))
+            out[p[inside]] = gamma[inside]
         return out
 
 
@@ -165,11 +170,8 @@ def fit(rows: list[tuple[str, str]], bits: int = BITS, steps: int = STEPS, seed:
     first, kind = types_of(x.hash)
     slots, begin = word_features(x, first, bits)
     owner = np.repeat(np.arange(len(first)), np.diff(np.append(begin, len(slots))))
-    # lines: runs of a text's words; a quarter of the lines get a tail from another one
-    text_of = x.text_of()
-    place = np.arange(len(kind)) - np.repeat(x.first[:-1], x.counts)
-    at = np.flatnonzero(place % LINE == 0)
-    n = np.diff(np.append(at, len(kind)))
+    # a quarter of the full lines get a tail from another one
+    at, n = lines_of(x)
     p = at[:, None] + np.minimum(np.arange(LINE)[None, :], n[:, None] - 1)
     other = rng.permutation(len(p))
     from_here = np.where(rng.random(len(p)) < 0.25, rng.integers(1, LINE, len(p)), LINE)
@@ -208,42 +210,78 @@ def held_out():
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD, F.lit(False))
 
 
-def training_sample(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """(text, lang) of the ``sample`` labelled documents outside the fold that have the least hashes."""
-    rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    hashed = rows.where(F.col("text").isNotNull()).select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id")
-    return [(r.text, r.lang) for r in least_hashed(hashed, "h", rows.count(), sample, ["doc_id", "text", "lang"])]
+def training_sample(docs: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
+    """(text, lang) of labelled documents outside the fold, an equal part of ``sample`` rows and ``most`` bytes for each language.
+
+    Rows are cut by hash before they move, at a hash that about four times a language's part stays below.
+    """
+    rows = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    if not counts:
+        return []
+    each, size = max(1, sample // len(counts)), max(1, most // len(counts))
+    hashed = rows.select("text", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h"), F.octet_length("text").alias("size"), "doc_id")
+    cut = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, int(min(-(2**63) + max(4 * each / n, 64 / n) * 2**64, 2**63 - 1)))))
+    near = hashed.where(F.col("h") <= cut[F.col("lang")])
+    w = Window.partitionBy("lang").orderBy(F.col("size") > LONG, "h", "doc_id", "text")
+    first = near.withColumn("k", F.row_number().over(w)).where(F.col("k") <= each)
+    taken = first.withColumn("so_far", F.sum("size").over(w)).where((F.col("so_far") <= size) | (F.col("k") == 1))
+    return [(r.text, r.lang) for r in taken.select("text", "lang").collect()]
 
 
 def _predicted(held):
     def predicted(batches):
         field = held.value
         for batch in batches:
-            names, scores = [], []
+            rows = []
             for _, _, x in W.runs(batch.column("text"), "alnum"):
-                total = field.totals(x)
+                word, text_of, texts = field.words(x), x.text_of(), len(x.counts)
+                total = np.stack([np.bincount(text_of, word[:, k], texts) for k in range(len(field.labels))], axis=1) if field.labels else np.zeros((texts, 0))
+                best = word.argmax(axis=1) if field.labels else np.zeros(len(word), np.int64)
+                switched = np.bincount(text_of[1:][(best[1:] != best[:-1]) & (text_of[1:] == text_of[:-1])], minlength=texts) if len(best) else np.zeros(texts, np.int64)
                 letters = np.add.reduceat(np.append(_LETTER[x.buf], False).astype(np.int64), np.minimum(x.offsets[:-1], len(x.buf))) * (np.diff(x.offsets) > 0)
-                for r in range(len(total)):
+                for r in range(texts):
                     known = letters[r] > 0 or any(c.isalpha() for c in x.buf[x.offsets[r] : x.offsets[r + 1]].tobytes().decode("utf-8", "replace"))
-                    s = total[r].sum() if field.labels else 0
-                    if known and s > 0:
-                        k = int(np.argmax(total[r]))
-                        names.append(field.labels[k])
-                        scores.append(float(min(total[r, k] / s, 1.0)))
-                    else:
-                        names.append("und")
-                        scores.append(0.0)
-            cols = [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "lang_pred", "score"])
+                    s = total[r].sum()
+                    k = int(np.argmax(total[r])) if known and s > 0 else -1
+                    rows.append((field.labels[k] if k >= 0 else "und", float(min(total[r, k] / s, 1.0)) if k >= 0 else 0.0, int(x.counts[r]), int(switched[r])))
+            made = list(zip(*rows, strict=True)) or [[]] * 4
+            kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
+            cols = [batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, t) for c, t in zip(made, kinds, strict=True))]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches"])
 
     return predicted
 
 
-def identify(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
-    """One row per document row: doc_id, held_out, lang_pred, score."""
+def _labelled(held):
+    def labelled(batches):
+        field = held.value
+        for batch in batches:
+            for i, _, x in W.runs(batch.column("text"), "alnum"):
+                if not len(x.hash) or not field.labels:
+                    continue
+                word, t = field.words(x), x.text_of()
+                best = word.argmax(axis=1)
+                ids = batch.column("doc_id").take(pa.array(i + t))
+                cols = [ids, pa.array(np.arange(len(t)) - x.first[t]), pa.array([x.string(k) for k in range(len(t))]), pa.array([field.labels[k] for k in best]), pa.array(word[np.arange(len(t)), best])]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "word_no", "word", "lang", "marginal"])
+
+    return labelled
+
+
+def _learned(docs: DataFrame, sample: int, bits: int):
     spark = prepare(docs)
-    held = spark.sparkContext.broadcast(fit(training_sample(docs, sample), bits))  # 2**bits weights for each language
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(_predicted(held), _RESULT)
+    return spark.sparkContext.broadcast(fit(training_sample(docs, sample), bits))  # 2**bits weights for each language
+
+
+def identify(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
+    """One row per document row: doc_id, held_out, lang_pred, score, n_words, and n_switches: how often a word's language isn't that of the word before."""
+    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(_predicted(_learned(docs, sample, bits)), _RESULT)
+
+
+def label_words(docs: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
+    """One row per word of every document: doc_id, word_no (from 0), word, its language and that label's marginal."""
+    return docs.select("doc_id", "text").mapInArrow(_labelled(_learned(docs, sample, bits)), _WORDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 The root is the smoothed unigram distribution of all training tokens. A context
-is any run of preceding words, of any length, that is followed by the same token
+is any run of up to ``DEPTH`` preceding words that is followed by the same token
 twice or more (``LEAST``, an absolute count, so that the model grows with the
 input). Its distribution keeps the tokens seen after it so often; counts are
 smoothed towards the distribution of the context without its first word, and
 what is left goes to the other tokens in that distribution's proportions, so
 every state's probabilities sum to one. A context is retained if its count times
 the divergence from the shorter context exceeds half its number of symbols times
-log N; a retained context's suffix is a state too. Contexts are made longer by a
-word until none of a length is retained. A token is scored in the state of the
-longest retained suffix.
+log N. Contexts are made longer by a word where the shorter one was retained, and
+where their own words were counted, until none of a length is retained or
+``DEPTH`` is reached (None: no bound). A token is scored in the state of the
+longest retained suffix; suffixes of states are states.
 
 As suffixes of states are states, a token's log probability is the root's plus
 what each state on the way to the longest adds to it. That is the sum of a value
@@ -41,16 +42,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, repeats, table, written
+from siltmill.llm.common import Bits, columns, prepare, removed, repeats, separate, table, written
 
-LEAST, FREQUENT, HOT, PRIOR, FOLDS = 2, 1e-6, 1e-5, 20.0, 10
-#: A bitmap has 8 to 16 bits for each of its keys, but no more than 2 ** MOST_BITS (8 MB).
-MOST_BITS = 26
+LEAST, DEPTH, FREQUENT, HOT, PRIOR, FOLDS = 2, 4, 1e-6, 3e-6, 20.0, 10
 #: Runs of words that a task tallies at once.
-TALLIED = 2_000_000
+TALLIED = 3_000_000
+#: Runs of a length are counted in two passes where more than a fiftieth of the tokens' number is known, so that half as much is on the disks.
+DENSE = 50
 END = W.mix(np.array([0x0E4D], W.U))[0]
 _SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double, rare array<struct<h:long,n:int>>, runs array<struct<h:long,n:int>>"
-_S32 = np.int64(32)
 
 
 def tokens(x: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -147,34 +147,6 @@ def _where(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _columns(df: DataFrame) -> list[np.ndarray]:
-    """The columns of a bounded table, by Arrow: rows as Python objects would fill the driver."""
-    return [c.to_numpy() for c in df.toArrow().columns]
-
-
-@dataclass
-class Bits:
-    """A bitmap of 64-bit keys by their first bits: says yes to all its keys and to few others while it isn't full."""
-
-    words: np.ndarray
-    size: int
-
-    @staticmethod
-    def of(df: DataFrame) -> Bits:
-        """The bitmap of the column k. Tasks send only words of it."""
-        size = min(MOST_BITS, max(10, (8 * df.count()).bit_length()))
-        place = f"shiftrightunsigned(k, {64 - size})"
-        rows = df.groupBy(F.expr(f"shiftrightunsigned(k, {70 - size})").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b"))
-        at, bits = _columns(rows)
-        words = np.zeros(1 << (size - 6), W.U)
-        words[at] = bits.view(W.U)
-        return Bits(words, size)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        k = h >> W.U(64 - self.size)
-        return (self.words[(k >> W.U(6)).astype(np.int64)] >> (k & W.U(63)) & W.U(1)).astype(bool)
-
-
 def join_runs(before: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hashes of runs of n + 1 words from those of their first and of their last n."""
     return W.mix(before * W.U(0x9E3779B97F4A7C15) + last)
@@ -192,29 +164,37 @@ def runs_of(h: np.ndarray, first: np.ndarray, most: int):
             run = longer
 
 
-def _pairs(held, length: int):
-    """Runs of ``length`` tokens, each as the hashes of all but its last and of all but its first token, with counts. The bitmap must have both."""
+def _pairs(held, length: int, part: int, of: int):
+    """Runs of ``length`` tokens, each as the hashes of all but its last and of all but its first token, with counts. Of the two
+    bitmaps one must have the first, the other the second. Only runs of the ``part``-th of ``of`` equal shares of the hashes."""
 
     def tallied(parts):
         before, last = (np.concatenate(c) for c in zip(*parts, strict=True))
-        _, at, n = np.unique(join_runs(before, last), return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(before[at].view(np.int64)), pa.array(last[at].view(np.int64)), pa.array(n.astype(np.int64))], names=["before", "last", "n"])
+        key = join_runs(before, last)
+        order = np.argsort(key)
+        key = key[order]
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n = np.diff(np.append(at, len(key)))
+        return pa.RecordBatch.from_arrays([pa.array(before[order[at]].view(np.int64)), pa.array(last[order[at]].view(np.int64)), pa.array(n.astype(np.int64))], names=["before", "last", "n"])
 
     def pairs(batches):
-        bits, parts, n = held.value, [], 0
+        (first_bits, second_bits), parts, n = held.value, [], 0
         for batch in batches:
             for _, _, x in W.runs(batch.column("text"), "space"):
                 h, first = tokens(x)
                 *_, (run, has) = runs_of(h, first, length - 1)
-                known = has & bits.has(run)
                 within = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
-                ends = np.flatnonzero(known[1:] & known[:-1] & (within[1:] >= length - 1)) + 1
+                ends = np.flatnonzero(has[:-1] & (within[1:] >= length - 1)) + 1
+                if of > 1:
+                    ends = ends[(run[ends - 1] + run[ends]) % W.U(of) == part]
+                ends = ends[second_bits.has(run[ends])]
+                ends = ends[first_bits.has(run[ends - 1])]
                 parts.append((run[ends - 1], run[ends]))
                 n += len(ends)
                 if n > TALLIED:
                     yield tallied(parts)
                     parts, n = [], 0
-        if parts:
+        if n:
             yield tallied(parts)
 
     return pairs
@@ -226,13 +206,6 @@ def _keyed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(join_runs(before, last).view(np.int64)), *batch.columns], names=["k", *batch.schema.names])
 
 
-@dataclass
-class Level:
-    """The states of one length that the broadcast part has: a token's number, or a place in the tree's ``pairs``."""
-
-    states: np.ndarray
-
-
 @dataclass
 class Tree:
     """The broadcast part of the model: sorted hashes of frequent runs with their values, and a bitmap of all runs that have one."""
@@ -243,9 +216,6 @@ class Tree:
     rest: np.ndarray  # what it adds to the token after it, as a context
     bits: Bits
     depth: int
-    one: Level
-    two: Level
-    pairs: np.ndarray  # sorted, first word << 32 | second word
 
     def gains(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What frequent runs add to each place, and the other runs that may have a value: their hashes and the places they end at."""
@@ -269,31 +239,27 @@ def held_out():
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def _once(df: DataFrame, tag: str) -> DataFrame:
-    """Written, with the shuffle files that it took removed at once, so that lengths don't add up on the disks."""
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        return written(df, tag)
-    finally:
-        spark.conf.set(key, old)
-
-
-def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int) -> list[tuple[DataFrame, DataFrame]]:
-    """For each length of contexts up to the longest with a state: the tokens after contexts (k, before, last, n, size, shorter, p), and the contexts (before, size, rest, passed).
+def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int | None = DEPTH) -> list[tuple[DataFrame, DataFrame]]:
+    """For each length of contexts up to the longest with a state: the tokens after states (k, n, p, before, shorter), and the states (before, size, rest).
 
     A run that comes ``LEAST`` times has its first and its last words so often,
-    so runs are only counted where the bitmap of shorter ones has both.
+    so runs are only counted where bitmaps of shorter ones have both.
     """
     spark = texts.sparkSession
     known = counts.where(F.col("n") >= LEAST).select("k", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("p"))
+    shorter = known.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
     levels: list[tuple[DataFrame, DataFrame]] = []
-    while True:
-        held = spark.sparkContext.broadcast(Bits.of(known))
-        rows = texts.mapInArrow(_pairs(held, len(levels) + 2), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-        sized = rows.mapInArrow(_keyed, "k long, before long, last long, n long").join(known.select(F.col("k").alias("before"), F.col("n").alias("size")), "before").join(known.select(F.col("k").alias("last"), F.col("p").alias("shorter")), "last")
-        pairs = _once(sized.select("k", "before", "last", "n", "size", "shorter"), "pairs").withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
+    while depth is None or len(levels) < depth:
+        bits = Bits.of(known), Bits.of(shorter.select(F.col("last").alias("k")))
+        held = spark.sparkContext.broadcast(bits)
+        of = 2 if bits[1].keys * DENSE > total else 1
+        counted = None
+        for part in range(of):
+            rows = texts.mapInArrow(_pairs(held, len(levels) + 2, part, of), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+            rows = written(rows, "counted")
+            counted = rows if counted is None else counted.union(rows)
+        sized = counted.mapInArrow(_keyed, "k long, before long, last long, n long").join(separate(known.select(F.col("k").alias("before"), F.col("n").alias("size"))), "before").join(separate(shorter), "last")
+        pairs = written(sized.select("k", "before", "n", "size", "shorter"), "pairs").withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
         held.unpersist()
         raw, left = F.col("n") / F.col("size"), F.greatest(1 - F.col("shorter_sum"), F.lit(1e-12))
         states = pairs.groupBy("before").agg(
@@ -303,14 +269,16 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int) -> list
         other = F.when(F.col("other") > 1e-12, F.col("other") * F.log(F.col("other") / left)).otherwise(0.0)
         passed = F.col("size") * (F.col("d") + other) > 0.5 * (F.col("m") + 1) * F.log(F.lit(float(max(total, 2))))
         rest = F.log10(F.greatest(1 - F.col("p_sum"), F.lit(1e-12)) / left)
-        states = _once(states.select("before", "size", rest.alias("rest"), passed.alias("passed")), "states")
-        if not states.where("passed").take(1):
+        states = written(states.where(passed).select("before", "size", rest.alias("rest")), "states")
+        if not states.take(1):
             return levels
-        levels.append((pairs, states))
-        known = pairs.select("k", "n", "p")
+        after = written(pairs.join(separate(states.select("before", "rest")), "before").select("k", "n", "p", "before", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen")), "after")
+        levels.append((after, states))
+        known, shorter = pairs.select("k", "n"), after.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
+    return levels
 
 
-def model(training: DataFrame) -> tuple[Tree, DataFrame, DataFrame]:
+def model(training: DataFrame, depth: int | None = DEPTH) -> tuple[Tree, DataFrame, DataFrame]:
     """The tree of the training rows' texts, the counts (k, n) of all their tokens, and the rest of the model: runs that aren't in the tree, with their values (k, v)."""
     spark = training.sparkSession
     texts = training.select("text")
@@ -318,35 +286,23 @@ def model(training: DataFrame) -> tuple[Tree, DataFrame, DataFrame]:
     t = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = t["n"] or 0, t["v"]
     # at most 1 / FREQUENT rows
-    h, n = _columns(counts.where(F.col("n") >= max(1, FREQUENT * total)).select("k", "n"))
+    h, n = columns(counts.where(F.col("n") >= max(1, FREQUENT * total)).select("k", "n"))
     h = h.view(W.U)
     order = np.argsort(h)
     vocabulary = Vocabulary(h[order], n[order], total, distinct)
-    levels = grow(texts, counts, total, distinct)
-    values, kept, longer = counts.select("k", F.lit(0.0).alias("seen"), F.lit(0.0).alias("rest"), "n").where("false"), [], None
-    for pairs, states in reversed(levels):
-        wanted = states.where("passed").select("before")
-        if longer is not None:
-            # a state's suffix: the run without its first word
-            suffixes = pairs.join(longer.select(F.col("before").alias("k")), "k", "left_semi").select(F.col("last").alias("before"))
-            wanted = wanted.union(suffixes)
-        longer = _once(states.join(wanted.distinct(), "before", "left_semi").select("before", "size", "rest"), "kept")
-        kept.insert(0, longer)
-        after = pairs.join(longer.select("before", "rest"), "before").select("k", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen"), F.lit(0.0).alias("rest"), "n")
-        values = values.union(after).union(longer.select(F.col("before").alias("k"), F.lit(0.0).alias("seen"), "rest", F.col("size").alias("n")))
-    values = _once(values.groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("rest").alias("rest"), F.max("n").alias("n")), "values")
+    levels = grow(texts, counts, total, distinct, depth)
+    values = counts.select("k", F.lit(0.0).alias("seen"), F.lit(0.0).alias("rest"), "n").where("false")
+    for after, states in levels:
+        values = values.union(after.select("k", "seen", F.lit(0.0).alias("rest"), "n")).union(states.select(F.col("before").alias("k"), F.lit(0.0).alias("seen"), "rest", F.col("size").alias("n")))
+    values = written(values.groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("rest").alias("rest"), F.max("n").alias("n")), "values")
     least = max(LEAST, HOT * total)
     # at most 1 / HOT runs of each length
-    h, seen, rest = _columns(values.where(F.col("n") >= least).select("k", "seen", "rest"))
+    h, seen, rest = columns(values.where(F.col("n") >= least).select("k", "seen", "rest"))
     h = h.view(W.U)
     order = np.argsort(h)
-    words = lambda c: vocabulary.find(c.view(W.U))
-    one = words(_columns(kept[0].where(F.col("size") >= least).select("before"))[0]) if kept else np.zeros(0, np.int64)
-    two = np.zeros(0, np.int64)
-    if len(kept) > 1:
-        before, last = _columns(levels[0][0].join(kept[1].where(F.col("size") >= least).select(F.col("before").alias("k")), "k", "left_semi").select("before", "last"))
-        two = np.sort(words(before) << _S32 | words(last))
-    tree = Tree(vocabulary, h[order], seen[order], rest[order], Bits.of(values), len(levels), Level(np.sort(one)), Level(np.arange(len(two))), two)
+    tree = Tree(vocabulary, h[order], seen[order], rest[order], Bits.of(values), len(levels))
+    for pair in levels:
+        removed(*pair)
     return tree, counts, values.where(F.col("n") < least).select("k", (F.col("seen") + F.col("rest")).alias("v"))
 
 
@@ -398,12 +354,12 @@ def _scored(held):
     return scored
 
 
-def score_texts(docs: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, depth: int | None = DEPTH) -> DataFrame:
     """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = prepare(docs)
     docs = docs.select("doc_id", "text")
     again = repeats(docs)
-    tree, counts, values = model(docs.where(~held_out()))
+    tree, counts, values = model(docs.where(~held_out()), depth)
     v = tree.vocabulary
     held = spark.sparkContext.broadcast(tree)
     rows = docs.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long")).withColumn("held_out", held_out())

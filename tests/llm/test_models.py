@@ -75,101 +75,84 @@ def test_base_scores_like_brute_force(make):
     assert {(r.n_known, r.train_tokens, r.base_score) for r in only} == {(0, 0, 0.0)}
 
 
-def test_states_sum_to_one_and_help(make):
-    """On text with order in it contexts are retained, every state's distribution sums to one, and held-out scores rise."""
+def tokens_of(t):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), "\0"]
+
+
+def brute_tree(texts, depth, least=2, prior=20.0):
+    """The root and, by context, (what it leaves to others, what each token after it gains), grown by plain counting of tuples."""
+    seqs = [tokens_of(t) for t in texts]
+    uni = Counter(w for s in seqs for w in s)
+    n, v = sum(uni.values()), len(uni)
+    root = lambda w: (uni[w] + 0.1) / (n + 0.1 * (v + 1))
+    counted = {(w,): c for w, c in uni.items() if c >= least}
+    shorter = {k: root(k[0]) for k in counted}
+    states, gains, runs_by_state = {}, {}, {}
+    for size in range(1, depth + 1):
+        runs = Counter(r for s in seqs for i in range(size, len(s)) if (r := tuple(s[i - size : i + 1]))[:-1] in counted and r[1:] in shorter)
+        runs = {r: c for r, c in runs.items() if c >= least}
+        p = {r: (c + prior * shorter[r[1:]]) / (counted[r[:-1]] + prior) for r, c in runs.items()}
+        after = {}
+        for context in {r[:-1] for r in runs}:
+            own = [r for r in runs if r[:-1] == context]
+            raw = {r: runs[r] / counted[context] for r in own}
+            other, left = max(1 - sum(raw.values()), 0), max(1 - sum(shorter[r[1:]] for r in own), 1e-12)
+            d = sum(raw[r] * math.log(raw[r] / shorter[r[1:]]) for r in own) + (other * math.log(other / left) if other > 1e-12 else 0)
+            if counted[context] * d > 0.5 * (len(own) + 1) * math.log(n):
+                states[context] = math.log10(max(1 - sum(p[r] for r in own), 1e-12) / left)
+                gains |= {r: math.log10(p[r] / shorter[r[1:]]) - states[context] for r in own}
+                after |= {r: p[r] for r in own}
+        counted, shorter = runs, after
+        if not after:
+            break
+    return root, states, gains
+
+
+def brute_score(tree, text, depth):
+    root, states, gains = tree
+    s, out = tokens_of(text), 0.0
+    for i, w in enumerate(s):
+        out += math.log10(root(w))
+        for size in range(1, min(depth, i) + 1):
+            out += states.get(tuple(s[i - size : i]), 0.0) + gains.get(tuple(s[i - size : i + 1]), 0.0)
+    return out
+
+
+def test_tree_like_brute_force(make):
+    """Text with order of several words, repeated documents, and the odd rows: every score is that of the plain tree; held-out ones rise,
+    and a state's probabilities sum to one."""
     rng = np.random.default_rng(5)
-    step = {"a": "bbbc", "b": "ccca", "c": "aaab"}
+    words = [f"w{k}" for k in range(12)]
+    follow = {(a, b): rng.choice(words, 2) for a in words for b in words}
 
     def walk(n):
-        w = ["a"]
+        w = ["w0", "w1"]
         for _ in range(n):
-            w.append(rng.choice(list(step[w[-1]])))
+            w.append(str(rng.choice(follow[w[-2], w[-1]], p=[0.9, 0.1])))
         return " ".join(w)
 
-    docs = make([(i, walk(200)) for i in range(100)])
-    tree, _ = suffix_tree.learn(docs.where(~suffix_tree.held_out()))
-    v = tree.vocabulary
-    assert len(tree.one.states) >= 3 and len(v.hash) == v.distinct == 4
-    unknown = 0.1 / (v.total + 0.1 * (v.distinct + 1))
-    ids = np.arange(len(v.hash))
-    for level, pairs in ((tree.one, None), (tree.two, tree.pairs)):
-        for s in level.states.tolist():
-            before = [s] if pairs is None else [int(pairs[s] >> 32), int(pairs[s] & 0xFFFFFFFF)]
-            total = 0.0
-            for w in [*ids.tolist(), -1]:
-                seq = np.array([*before, w])
-                gain = tree.added(seq, np.array([0, len(seq)]))[-1]
-                total += (unknown if w < 0 else v.root[w]) * 10**gain
-            assert abs(total - 1) < 1e-6
-    r = [x for x in suffix_tree.score_texts(docs).collect() if x.held_out]
-    assert r and all(x.score > x.base_score + 0.1 * x.n_tokens for x in r)
-
-
-def test_suffix_tree_like_brute_force(make, monkeypatch):
-    """States of any length, also of rare words, whether they are broadcast or joined: scores equal those of a plain walk over all contexts."""
-    rnd = np.random.default_rng(6)
-    w = lambda k: f"w{rnd.integers(k)}"
-    phrases = [" ".join(w(9) for _ in range(6)) for _ in range(12)]
-    rows = [(i, " ".join(rnd.choice(phrases) if rnd.random() < 0.7 else w(2000) for _ in range(25))) for i in range(160)]
-    tokens = lambda t: [*t.split(), "\0"]
-    pairs, total = Counter(), 0
+    rows = [(i, walk(60)) for i in range(40)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(rows[:5])] + [(200, None), (201, ""), (202, "w0 unseen w1")]
+    rows += [(300 + i, t) for i, (_, t) in enumerate(corpus(8)[:20])]
+    tree = brute_tree([t for i, t in rows if crc(i, 10)], 4)
+    assert {len(c) for c in tree[1]} >= {1, 2, 3}
+    got = {r.doc_id: r for r in suffix_tree.score_texts(make(rows)).collect()}
     for i, t in rows:
-        if crc(i, 10):
-            x = tokens(t)
-            total += len(x)
-            pairs.update(tuple(x[a:b]) for b in range(1, len(x) + 1) for a in range(max(0, b - 20), b))
-    distinct = sum(len(k) == 1 for k in pairs)
-    after = {}
-    for g, n in pairs.items():
-        if len(g) > 1 and n >= 2:
-            after.setdefault(g[:-1], {})[g[-1]] = n
-
-    memo = {}
-
-    def prob(c, s):
-        if not c:
-            return (pairs[(s,)] + 0.1) / (total + 0.1 * (distinct + 1))
-        if (c, s) not in memo:
-            seen, size, b = after.get(c, {}), pairs[c], prob(c[1:], s)
-            if s in seen:
-                memo[c, s] = (seen[s] + 20 * b) / (size + 20)
-            elif not seen:
-                memo[c, s] = b
-            else:
-                shorter = {x: prob(c[1:], x) for x in seen}
-                memo[c, s] = b * max(1 - sum((seen[x] + 20 * shorter[x]) / (size + 20) for x in seen), 1e-12) / max(1 - sum(shorter.values()), 1e-12)
-        return memo[c, s]
-
-    states, length = set(), 1
-    while True:
-        passed = set()
-        for c, seen in after.items():
-            if len(c) == length:
-                size, shorter = pairs[c], {x: prob(c[1:], x) for x in seen}
-                other, left = max(1 - sum(n / size for n in seen.values()), 0), max(1 - sum(shorter.values()), 1e-12)
-                d = sum(n / size * math.log(n / size / shorter[x]) for x, n in seen.items()) + (other * math.log(other / left) if other > 1e-12 else 0)
-                if size * d > 0.5 * (len(seen) + 1) * math.log(total):
-                    passed.add(c)
-        if not passed:
-            break
-        states |= {c[k:] for c in passed for k in range(len(c))}
-        length += 1
-    assert max(map(len, states)) > 2 and min(pairs[c] for c in states) < 8
-
-    def score(t):
-        x, out = tokens(t), 0.0
-        for i, s in enumerate(x):
-            c = ()
-            while len(c) < i and tuple(x[i - len(c) - 1 : i]) in states:
-                c = tuple(x[i - len(c) - 1 : i])
-            out += math.log10(prob(c, s))
-        return out
-
-    want = {i: score(t) for i, t in rows}
-    for hot in (suffix_tree.HOT, 2e-2):
-        monkeypatch.setattr(suffix_tree, "HOT", hot)
-        got = {r.doc_id: r.score for r in suffix_tree.score_texts(make(rows)).collect()}
-        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
+        assert abs(got[i].score - brute_score(tree, t, 4)) < 1e-6 * max(1, abs(got[i].score)), i
+    assert all(got[i].score > got[i].base_score for i in range(40) if not crc(i, 10))
+    root, states, gains = tree
+    vocabulary = {w for i, t in rows if crc(i, 10) for w in tokens_of(t)}
+
+    def prob(context, w):
+        x = root(w)
+        for k in range(1, len(context) + 1):
+            x *= 10 ** (states.get(context[-k:], 0.0) + gains.get((*context[-k:], w), 0.0))
+        return x
+
+    for context in list(states)[:20]:
+        unknown = 0.1 / (sum(1 for i, t in rows if crc(i, 10) for _ in tokens_of(t)) + 0.1 * (len(vocabulary) + 1))
+        lost = 10 ** sum(states.get(context[-k:], 0.0) for k in range(1, len(context) + 1))
+        assert abs(sum(prob(context, w) for w in vocabulary) + unknown * lost - 1) < 1e-6
 
 
 # ---- language
