@@ -13,8 +13,11 @@ the data bytes of some documents, in ascending doc_id over shards and blocks.
 Spark's writers commit the blocks, so a task that is lost and run again leaves
 no half file, and any store that Spark writes to will do.
 
-Shards are ranges of doc_id, cut at quantiles. Only ids move between executors,
-coded; texts don't. Defined cases: a null text is empty and has its end id
+Shards are ranges of (doc_id, checksum of the ids, row) that Spark's range
+exchange cuts from a bounded sample of keys, about ``SHARD_BYTES`` of text each,
+so rows of one doc_id, or equal rows, are cut too, however many they are. A task
+sorts its range, with spills, and streams it into blocks. Only ids move between
+executors; texts don't. Defined cases: a null text is empty and has its end id
 alone; a null doc_id comes first; repeated doc_ids are in order of their ids'
 checksums, and repeated rows are written once each; an empty table gives an
 empty result; extra columns are ignored.
@@ -27,10 +30,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import prepare, shared_dir, table
+from siltmill.llm.common import delete, prepare, shared_dir, table
 from siltmill.llm.tokens import ByteLevel, encoder, vocabulary
 
 END, SHARD_BYTES, BLOCK_TOKENS = 2, 48 << 20, 1 << 20
@@ -68,22 +72,19 @@ def decode(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tokenise(path: str, end: int, bounds: list[int]):
+def _tokenise(path: str, end: int):
     def tokenise(batches):
         enc = encoder(ByteLevel, path)
         kind = "<u2" if max(enc.size - 1, end) < 1 << 16 else "<u4"
-        cuts = np.array(bounds, np.int64)
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(-(2**63)).to_numpy()
             for i, found in enc(batch.column("text")):
                 out, crc = [], []
                 for own in found:
                     a = np.append(own, np.uint32(end)).astype("<u4")
                     crc.append(zlib.crc32(a.tobytes()))
                     out.append(a.astype(kind).tobytes())
-                shard = np.searchsorted(cuts, ids[i : i + len(out)], "right")
-                cols = [pa.array(shard, pa.int64()), batch.column("doc_id").slice(i, len(out)), pa.array(crc, pa.int64()), pa.array(out, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["shard", "doc_id", "crc", "ids"])
+                cols = [batch.column("doc_id").slice(i, len(out)), pa.array(crc, pa.int64()), pa.array(out, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "crc", "ids"])
 
     return tokenise
 
@@ -102,41 +103,29 @@ def _counted(kind: str):
     return counted
 
 
-def _coded(kind: str, held):
-    def coded(batches):
-        rank = held.value
-        for batch in batches:
-            raw = batch.column("ids").to_pylist()
-            got = [encode(rank[np.frombuffer(r, kind)]) for r in raw]
-            cols = [batch.column(k) for k in ("shard", "doc_id", "crc")]
-            n = np.array([len(r) for r in raw], np.int64) // np.dtype(kind).itemsize
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array([c for c, _ in got], pa.binary()), pa.array([d for _, d in got], pa.binary())], names=["shard", "doc_id", "crc", "n", "control", "data"])
-
-    return coded
-
+def _blocked(kind: str, held):
+    """Documents in order -> coded blocks of about ``BLOCK_TOKENS`` tokens. The task's range is the shard."""
 
-def _blocked(batches):
-    """Documents in order -> blocks of about ``BLOCK_TOKENS`` tokens that don't cross shards."""
-    held: list[tuple] = []
-    tokens, block, shard = 0, 0, None
-
-    def flush():
-        ids, n, control, data = zip(*held, strict=True)
-        cols = [pa.array([shard], pa.int64()), pa.array([block], pa.int32()), pa.array([list(ids)], pa.list_(pa.int64())), pa.array([list(n)], pa.list_(pa.int64())), pa.array([b"".join(control)], pa.binary()), pa.array([b"".join(data)], pa.binary())]
+    def block_of(shard: int, number: int, rows: list[tuple]) -> pa.RecordBatch:
+        ids, n, control, data = zip(*rows, strict=True)
+        cols = [pa.array([shard], pa.int64()), pa.array([number], pa.int32()), pa.array([list(ids)], pa.list_(pa.int64())), pa.array([list(n)], pa.list_(pa.int64())), pa.array([b"".join(control)], pa.binary()), pa.array([b"".join(data)], pa.binary())]
         return pa.RecordBatch.from_arrays(cols, names=["shard", "block", "doc_ids", "n_tokens", "control", "data"])
 
-    for batch in batches:
-        for s, *row in zip(*(batch.column(k).to_pylist() for k in ("shard", "doc_id", "n", "control", "data")), strict=True):
-            if held and (s != shard or tokens >= BLOCK_TOKENS):
-                yield flush()
-                block, held, tokens = (block + 1 if s == shard else 0), [], 0
-            elif s != shard:
-                block = 0
-            shard = s
-            held.append(tuple(row))
-            tokens += row[1]
-    if held:
-        yield flush()
+    def blocked(batches):
+        rank, shard = held.value, TaskContext.get().partitionId()
+        rows, tokens, number = [], 0, 0
+        for batch in batches:
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True):
+                ids = np.frombuffer(raw.as_buffer(), kind)
+                rows.append((doc, len(ids), *encode(rank[ids])))
+                tokens += len(ids)
+                if tokens >= BLOCK_TOKENS:
+                    yield block_of(shard, number, rows)
+                    rows, tokens, number = [], 0, number + 1
+        if rows:
+            yield block_of(shard, number, rows)
+
+    return blocked
 
 
 def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int = END, shard_bytes: int = SHARD_BYTES) -> None:
@@ -145,9 +134,8 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int =
     path = path or vocabulary("byte_bpe_50k.json")
     kind = "<u2" if max(encoder(ByteLevel, path).size - 1, end) < 1 << 16 else "<u4"
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    shards = int(size // shard_bytes) + 1
-    cuts = docs.stat.approxQuantile("doc_id", [k / shards for k in range(1, shards)], 0.001) if shards > 1 else []
-    ids = docs.select("doc_id", "text").mapInArrow(_tokenise(path, end, sorted({int(c) for c in cuts})), "shard long, doc_id long, crc long, ids binary")
+    shards = max(int(size // shard_bytes) + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ids = docs.select("doc_id", "text").mapInArrow(_tokenise(path, end), "doc_id long, crc long, ids binary")
     raw = f"{folder}/ids"
     ids.write.option("compression", "zstd").parquet(raw)
     ids = spark.read.parquet(raw)
@@ -158,10 +146,10 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end: int =
     rank[[r.id for r in order]] = np.arange(len(order))
     spark.createDataFrame([(k, r.id) for k, r in enumerate(order)], "rank long, id long").coalesce(1).write.parquet(f"{folder}/ranks")
     held = spark.sparkContext.broadcast(rank)
-    coded = ids.mapInArrow(_coded(kind, held), "shard long, doc_id long, crc long, n long, control binary, data binary")
-    width = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sorted_rows = coded.repartition(width, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "crc")
-    sorted_rows.mapInArrow(_blocked, _BLOCKS).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("crc"), F.col("row")]
+    dealt = ids.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    dealt.mapInArrow(_blocked(kind, held), _BLOCKS).write.option("compression", "zstd").parquet(f"{folder}/blocks")
+    delete(spark, raw)
 
 
 def _decoded(held):
@@ -191,8 +179,11 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     blocks = spark.read.parquet(f"{folder}/blocks")
     size = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)
     sizes = blocks.select("shard", "block", size.alias("n"))
-    # the only step in one task reads a number for each shard, that is for each 48 MB of text
-    shards = sizes.groupBy("shard").agg(F.sum("n").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("shard")) - F.col("n")).drop("n")
+    # starts of shards in two levels, so that the only window over all rows has one for each thousand shards
+    shards = sizes.groupBy("shard").agg(F.sum("n").alias("n")).withColumn("group", F.floor(F.col("shard") / 1000))
+    groups = shards.groupBy("group").agg(F.sum("n").alias("n")).withColumn("first", F.sum("n").over(Window.orderBy("group")) - F.col("n")).drop("n")
+    own = shards.withColumn("own", F.sum("n").over(Window.partitionBy("group").orderBy("shard")) - F.col("n"))
+    shards = own.join(groups, "group").select("shard", (F.col("first") + F.col("own")).alias("before"))
     inner = sizes.withColumn("inner", F.sum("n").over(Window.partitionBy("shard").orderBy("block")) - F.col("n")).drop("n")
     starts = inner.join(shards, "shard").select("shard", "block", (F.col("before") + F.col("inner")).alias("start"))
     placed = blocks.join(F.broadcast(starts) if _few(starts) else starts, ["shard", "block"])
