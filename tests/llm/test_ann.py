@@ -25,7 +25,7 @@ def test_exact_when_all_is_visited(spark):
     good += [(1000 + i, good[3][1]) for i in range(40)]  # more copies than neighbours asked for
     bad = [(2000, None), (2020, [0.0] * 8), (2040, [float("nan")] * 8), (2060, [None] * 8), (2080, [1.0] * 5), (None, [1.0] * 8), (2100, [float("inf")] * 8)]
     df = frame(spark, [*good, *bad, good[5]])
-    got = op.nearest(df, df.where("vec_id % 20 = 0"), leaf=32, visit=1.0, block=16).collect()
+    got = op.nearest(df, df.where("vec_id % 20 = 0"), recall=1.0, block=16).collect()
     queries = {i: v for i, v in good if i % 20 == 0}
     want = exact(good, queries, 20)
     by = {}
@@ -51,7 +51,35 @@ def test_recall(spark, kind):
     rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
     df = frame(spark, rows)
     got = {}
-    for r in op.nearest(df, df.where("vec_id % 100 = 0"), leaf=128).collect():
+    for r in op.nearest(df, df.where("vec_id % 100 = 0"), block=512).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     want = exact(rows, {i: v for i, v in rows if i % 100 == 0}, 20)
     assert np.mean([len(got[q] & {i for i, _ in w}) / 20 for q, w in want.items()]) >= 0.9
+
+
+@pytest.mark.parametrize("n", [500, 2000, 20_000, 50_000])
+@pytest.mark.parametrize("kind", ["random", "clustered"])
+def test_share_and_recall_at_defaults(n, kind):
+    """The registered defaults: recall, and the share of vectors that queries visit, at sizes below and above the sample."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(n, 64)) + (4 * rng.normal(size=(n // 100, 64))[rng.integers(0, n // 100, n)] if kind == "clustered" else 0)
+    up = op.raised(x, float(np.linalg.norm(x, axis=1).max()))
+    fitted = up[: op.SAMPLE]
+    forest = op.Forest(fitted, op.TREES, -(-len(fitted) // op.LEAF))
+    share = op.share_for(forest, fitted, op.K, op.PROBES, op.RECALL)
+    leaf = forest.route(up)
+    counts = [np.bincount(leaf[:, t], minlength=t_["leaves"]) for t, t_ in enumerate(forest.trees)]
+    asked = rng.choice(n, 60, replace=False)
+    found = forest.search(np.concatenate([x[asked], np.zeros((60, 1))], axis=1), counts, share * n * op.TREES, op.K + 1)
+    recall, seen = [], []
+    for q, order in zip(asked, found, strict=True):
+        inside = np.zeros(n, bool)
+        for t in range(op.TREES):
+            inside |= np.isin(leaf[:, t], [b for a, b in order if a == t])
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(inside[np.argsort(-s)[: op.K]].mean())
+        seen.append(inside.mean())
+    print(kind, n, round(float(np.mean(recall)), 3), round(float(np.mean(seen)), 3))
+    assert min(len(c) for c in counts) > 10 and np.mean(recall) >= 0.9
+    assert kind == "random" or n == 500 or np.mean(seen) < 0.4
