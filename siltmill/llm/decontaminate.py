@@ -8,13 +8,16 @@ the two sides are joined and each hit is extended, word by word, as far as a
 span of the asked length can reach; it counts if the words shared then are
 enough. Items shorter than a span are matched whole, with k their own length.
 
-The documents are read once for each block of the benchmark and never
-shuffled. A block's fingerprints are broadcast; its size is bounded by
-``block_bytes`` of item text, and a larger benchmark takes several blocks, whose
-hits are united document by document.
+The documents are never shuffled while the benchmark's distinct texts are no more
+than ``broadcast_bytes``, which is checked: its fingerprints are broadcast then.
+A larger benchmark is a table of fingerprints, each with the words around it, and
+so are the documents' fingerprints that a bitmap of bounded size lets pass; the
+two are joined on the fingerprint, extended pair by pair, and the hits of a
+document are united. Adaptive execution splits hot fingerprints.
 
 Defined cases: a null or empty text has no words and no hits; items without
-words or with a null id match nothing; items with the same id are one item; a
+words match nothing; an item with a null id hits words, but has no name to be
+counted or listed under; items with the same id are one item; a
 repeated document row gets its row again; an empty benchmark hits nothing;
 extra columns are ignored by ``decontaminate`` and kept by ``remove_leaks``.
 """
@@ -30,9 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, table, with_texts
+from siltmill.llm.common import Bits, prepare, separate, table, with_texts, written
 
 SPAN, K = 13, 9
+#: Bytes of distinct benchmark texts up to which their fingerprints are broadcast.
+BROADCAST = 8 << 20
 _HITS = "doc_id long, text_key long, n_words long, starts array<int>, ends array<int>, items array<string>"
 _RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -76,7 +81,7 @@ class Index:
     """The fingerprints of a block of benchmark items."""
 
     def __init__(self, items: list[tuple[str, str]], span: int, k: int):
-        items = sorted({(i, t) for i, t in items if i is not None and t})
+        items = sorted({(i, t) for i, t in items if t}, key=lambda x: (x[0] or "", x[0] is not None, x[1]))
         texts = pa.array([t for _, t in items], pa.large_string())
         found = [x for _, _, x in W.runs(texts, "alnum")]
         counts = np.concatenate([x.counts for x in found]) if found else np.zeros(0, np.int64)
@@ -132,14 +137,16 @@ class Index:
             yield p[long] - left[long], p[long] + right[long], self.item_of[q[long]]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark's items, in as many blocks as its bytes ask for; each is small enough for the driver and a broadcast."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("i is not null and t is not null")
-    size = rows.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
-    n = int(size // block_bytes) + 1
-    for b in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
-        yield [(r.i, r.t) for r in part.distinct().toLocalIterator()]
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text is not null").distinct()
+
+
+def _index(benchmark: DataFrame, span: int, k: int, most: int) -> Index | None:
+    """The benchmark's index for a broadcast, or None if its texts are more than so many bytes."""
+    size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    if size > most and (_items(benchmark).agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) > most:
+        return None
+    return Index([(r.item, r.text) for r in _items(benchmark).toLocalIterator()], span, k)
 
 
 def _unite(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
@@ -176,7 +183,7 @@ def _scan(held, only_hits: bool):
                     if lo == hi and only_hits:
                         continue
                     joined = _unite(a[lo:hi] - base, b[lo:hi] - base) if lo < hi else []
-                    names = sorted({index.ids[k] for k in np.unique(item[lo:hi])})
+                    names = sorted({index.ids[k] for k in np.unique(item[lo:hi])} - {None})
                     rows.append((ids[i + r], keys[i + r], int(x.counts[r]), [s for s, _ in joined], [e for _, e in joined], names))
             names = ("doc_id", "text_key", "n_words", "starts", "ends", "items")
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()))
@@ -186,40 +193,125 @@ def _scan(held, only_hits: bool):
     return scan
 
 
+_PRINT = "print long, around binary, at int"
+
+
+def _printed(families: list[Family], names: list[str], whole: bool, bits=None):
+    """Fingerprints of texts with the words around them: of benchmark items (``whole``: a family has the items of its own length),
+    or of documents, where the bitmap has them."""
+
+    def printed(batches):
+        for batch in batches:
+            for i, _, x in W.runs(batch.column("text"), "alnum"):
+                h, text_of = x.hash, x.text_of()
+                for f in families:
+                    p, g = f.places(h, text_of)
+                    g = W.mix(g + W.U(f.span))
+                    if whole:
+                        own = x.counts[text_of[p]]
+                        keep = own >= f.span if f.span == families[-1].span and f.k < f.span else own == f.span
+                    else:
+                        keep = bits.value.has(g)
+                    p, g = p[keep], g[keep]
+                    if not len(p):
+                        continue
+                    q = p[:, None] + np.arange(-(f.span - f.k), f.span)[None, :]
+                    r = np.clip(q, 0, len(h) - 1)
+                    around = np.where((q == r) & (text_of[r] == text_of[p][:, None]), h[r], W.U(0))
+                    size = around.shape[1] * 8
+                    raw = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(np.arange(0, size * len(p) + 1, size, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(around))])
+                    t = text_of[p]
+                    cols = [batch.column(c).take(pa.array(i + t)) for c in names]
+                    if not whole:
+                        cols.append(pa.array(x.counts[t].astype(np.int64)))
+                    cols += [pa.array(g.view(np.int64)), raw, pa.array((p - x.first[t]).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, names=[*names, *([] if whole else ["n_words"]), "print", "around", "at"])
+
+    return printed
+
+
+def _extended(span: int, k: int):
+    """Pairs of places with equal fingerprints -> spans of the document that are shared to their whole length."""
+
+    def extended(batches):
+        for batch in batches:
+            doc, own, at = batch.column("around"), batch.column("own"), batch.column("at").to_numpy()
+            start, end = np.full(len(at), -1, np.int32), np.zeros(len(at), np.int32)
+            size = np.array([len(b.as_buffer()) // 8 for b in doc])
+            for m in np.unique(size):
+                rows = np.flatnonzero(size == m)
+                a, b = (np.frombuffer(b"".join(c.take(pa.array(rows)).to_pylist()), W.U).reshape(len(rows), -1) for c in (doc, own))
+                # a window of the main family has span - k words on both sides; a short item is its own window
+                side, core = (span - k, k) if m == 2 * span - k and k < span else (0, m)
+                if a.shape != b.shape:
+                    continue
+                same = (a == b) & (a != 0)
+                left = np.cumprod(same[:, :side][:, ::-1], axis=1).sum(axis=1)
+                right = np.cumprod(same[:, side + core :], axis=1).sum(axis=1)
+                ok = same[:, side : side + core].all(axis=1) & (left + core + right >= (span if side else core))
+                start[rows[ok]] = at[rows[ok]] - left[ok]
+                end[rows[ok]] = at[rows[ok]] + core + right[ok]
+            keep = pa.array(start >= 0)
+            out = [*(batch.column(c) for c in ("doc_id", "text_key", "n_words", "item")), pa.array(start), pa.array(end)]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "text_key", "n_words", "item", "start", "end"]).filter(keep)
+
+    return extended
+
+
 def _merge(batches):
-    """Union of the hits that several blocks found in one document: spans and items."""
+    """The spans of a document's hits, united."""
     for batch in batches:
-        starts, ends, items = [], [], []
+        starts, ends = [], []
         for parts in batch.column("parts").to_pylist():
-            joined = _unite(*(np.array([x for p in parts for x in p[k]], np.int64) for k in ("starts", "ends")))
+            joined = _unite(*(np.array([p[c] for p in parts], np.int64) for c in ("start", "end")))
             starts.append([s for s, _ in joined])
             ends.append([e for _, e in joined])
-            items.append(sorted({x for p in parts for x in p["items"]}))
         kind = pa.list_(pa.int32())
         cols = [batch.column(k) for k in ("doc_id", "text_key", "n_words")]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(starts, kind), pa.array(ends, kind), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text_key", "n_words", "starts", "ends", "items"])
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(starts, kind), pa.array(ends, kind), batch.column("items")], names=["doc_id", "text_key", "n_words", "starts", "ends", "items"])
+
+
+def _counts(batches):
+    for batch in batches:
+        n = [x.counts for _, _, x in W.runs(batch.column("text"), "alnum")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(np.concatenate(n) if n else np.zeros(0, np.int64), pa.int64())], names=["doc_id", "text_key", "n_words"])
+
+
+def _lengths(span: int):
+    def lengths(batches):
+        for batch in batches:
+            for _, _, x in W.runs(batch.column("text"), "alnum"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.minimum(x.counts, span)).astype(np.int64))], names=["n"])
+
+    return lengths
+
+
+def _joined_hits(rows: DataFrame, benchmark: DataFrame, span: int, k: int) -> DataFrame:
+    """Hits of documents (doc_id, text_key, text) by a join of fingerprint tables."""
+    spark = rows.sparkSession
+    items = _items(benchmark)
+    sizes = sorted(r.n for r in items.mapInArrow(_lengths(span), "n long").distinct().collect() if r.n)  # at most ``span`` numbers
+    families = [Family(n, min(k, n) if n == span else n) for n in sizes]
+    theirs = written(items.mapInArrow(_printed(families, ["item"], True), f"item string, {_PRINT}").select("item", "print", F.col("around").alias("own")).distinct(), "prints")
+    bits = spark.sparkContext.broadcast(Bits.of(theirs.select(F.col("print").alias("k"))))
+    mine = rows.mapInArrow(_printed(families, ["doc_id", "text_key"], False, bits), f"doc_id long, text_key long, n_words long, {_PRINT}")
+    hits = mine.join(separate(theirs), "print").mapInArrow(_extended(span, k), "doc_id long, text_key long, n_words long, item string, start int, end int")
+    # equal rows have equal hits, so a repeated row needs them once
+    hits = hits.groupBy("doc_id", "text_key", "n_words").agg(F.collect_set(F.struct("start", "end")).alias("parts"), F.array_sort(F.collect_set("item")).alias("items"))
+    return hits.mapInArrow(_merge, _HITS)
 
 
-def find_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, block_bytes: int = 8 << 20, only_hits: bool = False) -> DataFrame:
+def find_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, broadcast_bytes: int = BROADCAST, only_hits: bool = False) -> DataFrame:
     """Per document row: doc_id, text_key, n_words, the word spans shared with the benchmark and the items they come from."""
     spark = prepare(docs)
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    parts = []
-    for items in _blocks(benchmark, block_bytes):
-        held = spark.sparkContext.broadcast(Index(items, span, k))
-        parts.append(held)
-    if len(parts) == 1:
-        return rows.mapInArrow(_scan(parts[0], only_hits), _HITS)
-    hits = None
-    for held in parts:
-        part = rows.mapInArrow(_scan(held, True), _HITS)
-        hits = part if hits is None else hits.unionByName(part)
-    # equal rows have equal hits, so a repeated row needs them once
-    hits = hits.groupBy("doc_id", "text_key", "n_words").agg(F.collect_set(F.struct("starts", "ends", "items")).alias("parts"))
-    joined = hits.mapInArrow(_merge, _HITS)
+    index = _index(benchmark, span, k, broadcast_bytes)
+    if index:
+        return rows.mapInArrow(_scan(spark.sparkContext.broadcast(index), only_hits), _HITS)
+    joined = _joined_hits(rows, benchmark, span, k)
     if only_hits:
         return joined
-    counted = rows.mapInArrow(_scan(spark.sparkContext.broadcast(Index([], span, k)), False), _HITS).select("doc_id", "text_key", "n_words")
+    counted = rows.mapInArrow(_counts, "doc_id long, text_key long, n_words long")
     b = joined.withColumnsRenamed({"doc_id": "b_id", "text_key": "b_key"}).drop("n_words")
     empty = F.array().cast("array<int>")
     return counted.join(b, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("text_key") == F.col("b_key")), "left").select(
@@ -227,9 +319,9 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int =
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, share: int = 20, block_bytes: int = 8 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, share: int = 20, broadcast_bytes: int = BROADCAST) -> DataFrame:
     """One row per document row: words, words inside shared spans, items, and whether 1/``share`` of the words or more are hit."""
-    found = find_spans(docs, benchmark, span, k, block_bytes)
+    found = find_spans(docs, benchmark, span, k, broadcast_bytes)
     n_hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
     found = found.withColumn("n_hit", n_hit)
     return found.select(
@@ -271,14 +363,13 @@ def _cut(held, share: int):
     return cut
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, share: int = 20, block_bytes: int = 8 << 20) -> DataFrame:
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, share: int = 20, broadcast_bytes: int = BROADCAST) -> DataFrame:
     """Documents without benchmark text: contaminated ones are dropped, and shared spans are cut from the rest. Columns stay."""
     spark = prepare(docs)
-    blocks = list(_blocks(benchmark, block_bytes))
-    if len(blocks) == 1:
-        return docs.mapInArrow(_cut(spark.sparkContext.broadcast(Index(blocks[0], span, k)), share), docs.schema)
-    # what is hit must be known over all blocks before a share can be judged
-    spans = find_spans(docs, benchmark, span, k, block_bytes, only_hits=True)
+    index = _index(benchmark, span, k, broadcast_bytes)
+    if index:
+        return docs.mapInArrow(_cut(spark.sparkContext.broadcast(index), share), docs.schema)
+    spans = find_spans(docs, benchmark, span, k, broadcast_bytes, only_hits=True)
     b = spans.withColumnsRenamed({"doc_id": "__id", "text_key": "__key", "n_words": "__n", "starts": "__starts", "ends": "__ends"}).drop("items")
     keyed = docs.join(b, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left").drop("__id", "__key")
     return keyed.mapInArrow(_cut_known(share, docs.columns), docs.schema)
@@ -317,7 +408,7 @@ WITH t AS (
 b AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 bl AS (SELECT item, w, least(13, len(w)) AS m FROM b WHERE len(w) > 0),
 bw AS (
   SELECT DISTINCT item, m, array_to_string(w[i : i + m - 1], ' ') AS g
@@ -328,7 +419,7 @@ dw AS (
   FROM (SELECT r, m, w, unnest(generate_series(1, len(w) - m + 1)) AS i FROM t, ms WHERE len(w) >= m)),
 hit AS (SELECT r, item, i, dw.m AS m FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + m - 1)) AS p FROM (SELECT DISTINCT r, i, m FROM hit)) GROUP BY r),
-its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r)
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hit WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
