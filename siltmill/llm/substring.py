@@ -21,6 +21,8 @@ ignored by ``repeats``; a text of nothing but removed spans becomes empty, and
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +107,8 @@ def _removed(min_words: int, names: list[str], text_out: bool):
                         a, b = order[i], order[j]
                         n = int(count[a : b + 1].sum())
                         if n >= min_words:
-                            spans.append((int(begin[a]), int(begin[b + 1]), int(chars[begin[a]]), int(chars[begin[b + 1]]), n, b - a + 1, kept[a]))
+                            keepers = Counter(kept[u] for u in range(a, b + 1))
+                            spans.append((int(begin[a]), int(begin[b + 1]), int(chars[begin[a]]), int(chars[begin[b + 1]]), n, b - a + 1, keepers))
                         i = j + 1
                     if spans:
                         raw, parts, p = x.buf.tobytes(), [], 0
@@ -120,9 +123,9 @@ def _removed(min_words: int, names: list[str], text_out: bool):
                 yield b.filter(pa.array(keep))
             else:
                 ids = batch.column("doc_id").to_pylist()
-                flat = [(ids[r], s[2], s[3], s[4], s[5], s[6]) for r, spans in enumerate(rows) for s in spans]
-                cols = list(zip(*flat, strict=True)) or [[]] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start_char", "end_char", "n_words", "n_units", "kept_doc_id"])
+                flat = [(ids[r], *s[2:6], keeper, n) for r, spans in enumerate(rows) for s in spans for keeper, n in s[6].items()]
+                cols = list(zip(*flat, strict=True)) or [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "start_char", "end_char", "n_words", "n_units", "kept_doc_id", "kept_units"])
 
     return removed
 
@@ -134,6 +137,7 @@ def _marked(docs: DataFrame) -> DataFrame:
     least = F.lit(-(2**63))
     rank, key = F.coalesce("doc_id", least), F.xxhash64("text") if repeats else F.lit(0).cast("long")
     seen = docs.select(rank.alias("rank_id"), key.alias("text_key"), "text").mapInArrow(_occurrences, "digest long, check int, rank_id long, text_key long, unit int")
+    seen = written(seen, "units")
     first = seen.groupBy("digest", "check").agg(F.min(F.struct("rank_id", "text_key", "unit")).alias("f"), F.count("*").alias("n")).where("n > 1")
     first = first.select("digest", "check", F.col("f.rank_id").alias("kept"), F.col("f.text_key").alias("kept_key"), F.col("f.unit").alias("kept_unit"))
     # written, not reused: as a table of its own, the join's sides are two exchanges, of which a hot digest's can be split
@@ -145,9 +149,9 @@ def _marked(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per removed span: doc_id, start_char, end_char (behind it), n_words, n_units, and the document that keeps its first unit."""
+    """One row per removed span and document that keeps some of its units: doc_id, start_char, end_char (behind it), n_words, n_units, kept_doc_id, kept_units."""
     marked = _marked(docs.select("doc_id", "text")).where("__marks is not null")
-    return marked.mapInArrow(_removed(min_words, [], False), "doc_id long, start_char long, end_char long, n_words long, n_units long, kept_doc_id long")
+    return marked.mapInArrow(_removed(min_words, [], False), "doc_id long, start_char long, end_char long, n_words long, n_units long, kept_doc_id long, kept_units long")
 
 
 def drop_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -174,8 +178,8 @@ u AS (
          len(w) AS n, array_to_string(w, ' ') AS norm
   FROM q WHERE len(w) > 0 WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
 m AS (SELECT *, row_number() OVER x AS r, first_value(doc_id) OVER x AS kept FROM u WINDOW x AS (PARTITION BY norm ORDER BY doc_id, k)),
-g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS island FROM m WHERE r > 1)
-SELECT doc_id, CAST(min(a) AS BIGINT) AS start_char, CAST(max(b) AS BIGINT) AS end_char, CAST(sum(n) AS BIGINT) AS n_words,
-       count(*) AS n_units, arg_min(kept, k) AS kept_doc_id
-FROM g GROUP BY doc_id, island HAVING sum(n) >= 8
+g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS island FROM m WHERE r > 1),
+s AS (SELECT doc_id, island, min(a) AS a, max(b) AS b, sum(n) AS n, count(*) AS u FROM g GROUP BY doc_id, island HAVING sum(n) >= 8)
+SELECT doc_id, CAST(s.a AS BIGINT) AS start_char, CAST(s.b AS BIGINT) AS end_char, CAST(s.n AS BIGINT) AS n_words, u AS n_units, kept AS kept_doc_id, count(*) AS kept_units
+FROM s JOIN g USING (doc_id, island) GROUP BY doc_id, island, s.a, s.b, s.n, u, kept
 """

@@ -22,7 +22,8 @@ def brute(rows, least):
 
         def close(run=run, d=d):
             if run and sum(x[2] for x in run) >= least:
-                out.append((d, run[0][0], run[-1][1], sum(x[2] for x in run), len(run), run[0][3]))
+                for keeper in {x[3] for x in run}:
+                    out.append((d, run[0][0], run[-1][1], sum(x[2] for x in run), len(run), keeper, sum(x[3] == keeper for x in run)))
             run.clear()
 
         for u, e in zip(units, ends, strict=True):
