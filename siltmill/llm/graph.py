@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltmill.llm.common import separate, written
+from siltmill.llm.common import removed, separate, written
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -44,7 +44,9 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = written(e, "edges")
     while _unsettled(e):
-        e = written(_small_star(_large_star(e).where("a != b").distinct()).where("a != b").distinct(), "edges")
+        old = e
+        e = written(_small_star(_large_star(e).where("a != b")).where("a != b").distinct(), "edges")
+        removed(old)
     found = e.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 

@@ -9,17 +9,17 @@ their similarity. Bands mix minima and maxima of different permutations.
 2. Documents with the same set are one node (grouped with map-side partials).
 3. Each band value links its nodes to the least of them; the connected
    components of these links are clusters of candidates. No pairs are listed.
-4. A cluster of more than a block is cut finer: similar sets share a token of
-   their prefixes (the rarest tokens, one more than they may differ by), in any
-   one order of tokens, so components over prefix tokens lose no link. The order
-   is that of a count sketch of bounded size. Texts that only share common
-   wording fall apart here, before any two of them are compared.
-5. Clusters are compared on full shingle sets, all pairs that could still join
-   two components. A cluster over ``BLOCK`` nodes or ``BLOCK_SHINGLES`` shingles
-   is dealt into blocks, each with the same few pivots; then what lies outside
-   its largest component is compared with every block. So a task never holds
-   more than two blocks, and every two nodes of a cluster that end in different
-   components have been compared.
+4. Clusters are compared on full shingle sets. A cluster over ``BLOCK`` nodes or
+   ``BLOCK_SHINGLES`` shingles is dealt into blocks, each with the same few
+   pivots, so that copies of one text find together at once.
+5. Clusters that still are in several components are cut finer: similar sets
+   share a token of their prefixes (the rarest tokens, one more than they may
+   differ by), in any one order of tokens, so components over prefix tokens lose
+   no link. The order is that of a count sketch of bounded size. Texts that only
+   share common wording fall apart here, without being compared. What is outside
+   the largest component of a finer cluster is compared with all of its blocks.
+   So a task never holds more than two blocks, and every two nodes that end in
+   different components have been compared or can't be similar.
 
 Two sets at the threshold of 0.85 miss all 30 bands of 6 values with a chance
 of 7e-7, more similar ones far less; a shared neighbour heals even that.
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, removed, repeats, separate, table, written
+from siltmill.llm.common import made, prepare, remove_since, removed, repeats, separate, table, written
 from siltmill.llm.graph import components, in_groups
 
 SHINGLE, BANDS, ROWS, BLOCK, BLOCK_SHINGLES, PIVOTS = 5, 30, 6, 256, 500_000, 8
@@ -263,19 +263,24 @@ def _dealt(sets: DataFrame, block: int, shingles: int) -> DataFrame:
     """Sets (node, cluster, shingles) with the number of their cluster's blocks, and their own block."""
     sizes = sets.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles") / 8).alias("m"))
     sizes = sizes.select("cluster", F.ceil(F.greatest(F.col("n") / block, F.col("m") / shingles)).cast("long").alias("blocks"))
-    return sets.join(separate(sizes), "cluster").select("cluster", "node", "shingles", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    return sets.join(separate(sizes), "cluster").select(*sets.columns, "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
 
 
-def _finer(large: DataFrame, percent: int) -> DataFrame:
-    """Sets of large clusters (node, shingles) with the finer cluster of those that share a prefix token; a set that shares none is alone."""
-    spark = large.sparkSession
-    cells = large.select("shingles").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** SKETCH rows
+def _finer(loose: DataFrame, percent: int) -> DataFrame:
+    """Nodes of (node, shingles) with the finer cluster of those that share a prefix token; a set that shares none is left out."""
+    spark = loose.sparkSession
+    cells = loose.select("shingles").mapInArrow(_counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most 2 ** SKETCH rows
     counts = np.zeros(1 << SKETCH, np.int64)
     counts[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
     held = spark.sparkContext.broadcast(counts)
-    values = large.select("node", "shingles").mapInArrow(_prefixes(held, percent), "node binary, value long")
-    found = _clusters(values)
-    return large.select("node", "shingles").join(found, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster"), "shingles")
+    return _clusters(loose.select("node", "shingles").mapInArrow(_prefixes(held, percent), "node binary, value long"))
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """Of (cluster, component, shingles): clusters with more than one component, their largest one, and the size of what is outside."""
+    count = rows.groupBy("cluster", "component").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles") / 8).alias("m"))
+    most = count.groupBy("cluster").agg(F.max(F.struct("n", "m", "component")).alias("most"), F.sum("n").alias("n"), F.sum("m").alias("m")).where("n > most.n")
+    return most.select("cluster", F.col("most.component").alias("most"), (F.col("n") - F.col("most.n")).alias("out_n"), (F.col("m") - F.col("most.m")).alias("out_m"))
 
 
 def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int, shingles: int) -> DataFrame:
@@ -290,9 +295,6 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int,
     sets = texts.mapInArrow(_shingled(k), "cluster binary, node binary, shingles binary")
     sets = written(sets.dropDuplicates(["node"]) if repeats(docs) else sets, "sets")
     dealt = written(_dealt(sets, block, shingles), "dealt")
-    if dealt.where("blocks > 1").take(1):
-        finer = _dealt(written(_finer(dealt.where("blocks > 1"), percent), "finer"), block, shingles)
-        dealt = written(dealt.where("blocks = 1").unionByName(finer), "dealt")
     removed(sets)
     # a large cluster's pivots: some of its nodes, least hashes first, found block by block and so of bounded number
     large = dealt.where("blocks > 1")
@@ -306,31 +308,44 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int,
     if not large.take(1):
         return done
     label = written(components(inside.where("large").select("a", "b")), "label")
-    apart = written(large.join(label, "node"), "apart")
-    # what is outside the largest component of a large cluster meets every block
-    count = apart.groupBy("cluster", "component").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles") / 8).alias("m"))
-    most = count.groupBy("cluster").agg(F.max(F.struct("n", "m", "component")).alias("most"), F.sum("n").alias("n"), F.sum("m").alias("m")).where("n > most.n")
-    blocks = F.ceil(F.greatest((F.col("n") - F.col("most.n")) / block, (F.col("m") - F.col("most.m")) / shingles)).cast("long")
-    apart = written(apart.join(separate(most.select("cluster", F.col("most.component").alias("most"), blocks.alias("s_blocks"))), "cluster"), "split")
+    apart = written(large.select("cluster", "node", "shingles").join(label, "node"), "apart")
+    loose = apart.join(separate(_several(apart).select("cluster")), "cluster").select("node", "shingles", "component")
+    loose = written(loose, "loose")
+    if loose.take(1):
+        label = _rejoined(loose, label, percent, block, shingles, width)
+    return done.unionByName(label)
+
+
+def _rejoined(loose: DataFrame, label: DataFrame, percent: int, block: int, shingles: int, width: int) -> DataFrame:
+    """The labels (node, component), with components joined that have links between the loose sets (node, shingles, component)."""
+    sets = loose.join(separate(_finer(loose, percent)), "node")
+    dealt = written(_dealt(sets, block, shingles), "finer")
+    blocks = F.ceil(F.greatest(F.col("out_n") / block, F.col("out_m") / shingles)).cast("long")
+    split = written(dealt.join(separate(_several(dealt).select("cluster", "most", blocks.alias("s_blocks"))), "cluster"), "split")
+    if not split.take(1):
+        return label
     numbers = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     own = F.pmod(F.xxhash64("node", F.lit(2)), F.col("s_blocks"))
-    left = apart.where("component != most").select("cluster", numbers("blocks").alias("block"), own.alias("other"), F.lit(0).alias("side"), "component", "node", "shingles")
-    right = apart.select("cluster", "block", numbers("s_blocks").alias("other"), F.lit(1).alias("side"), "component", "node", "shingles")
+    left = split.where("component != most").select("cluster", numbers("blocks").alias("block"), own.alias("other"), F.lit(0).alias("side"), "component", "node", "shingles")
+    right = split.select("cluster", "block", numbers("s_blocks").alias("other"), F.lit(1).alias("side"), "component", "node", "shingles")
     grid = left.unionByName(right).repartition(width, "cluster", "block", "other").sortWithinPartitions("cluster", "block", "other").select("cluster", "block", "other", "side", "component", "shingles")
     links = written(grid.mapInArrow(_across(percent), "a binary, b binary").distinct(), "across")
+    if not links.take(1):
+        return label
     over = components(links).select(F.col("node").alias("component"), F.col("component").alias("joined"))
-    return done.unionByName(label.join(separate(over), "component", "left").select("node", F.coalesce("joined", "component").alias("component")))
+    return label.join(separate(over), "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
 
 
 def _found(docs: DataFrame, percent: int, shingle: int, bands: int, rows: int, block: int, shingles: int) -> DataFrame:
     """One row per document row: doc_id, text_key, n_shingles, component_id, and whether its text is the one that stays of its component."""
-    prepare(docs)
+    spark, mark = prepare(docs), made()
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     sig = written(docs.mapInArrow(_sign(bands, rows, shingle), _SIG), "signatures")
     pick = F.min(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.col("text_key").alias("key")))
     nodes = sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), pick.alias("pick"), F.first("bands").alias("bands"))
     nodes = written(nodes, "nodes")
     label = written(_labels(docs, nodes, percent, shingle, block, shingles), "label")
+    remove_since(spark, mark, sig, nodes, label)
     whole = label.join(nodes.select("node", "least"), "node")
     # the least id, and the text that stays: null ids come last
     first = whole.groupBy("component").agg(F.min("least").alias("smallest"), F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("stays"))
@@ -349,10 +364,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, shingle: int = SHINGLE,
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHINGLE, bands: int = 46, rows: int = ROWS, block: int = BLOCK, shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """The documents without near copies: of each component the text with the smallest id stays, once. With 46 bands a lone pair at 0.8 is missed as rarely as one at 0.85 with 30."""
+    mark = made()
     found = _found(docs, percent, shingle, bands, rows, block, shingles)
     # a row goes if its text isn't its component's, or if the same text is there with a smaller id
     same_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
     gone = written(found.where(~F.col("stays") | ~same_id).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "gone")
+    remove_since(docs.sparkSession, mark, gone)
     left = docs.join(separate(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
     return left.dropDuplicates(["doc_id", "text"]) if repeats(docs) else left
 

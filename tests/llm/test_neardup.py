@@ -59,6 +59,31 @@ def test_empty_and_null(make):
     assert got == [(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False)]
 
 
+def test_cluster_without_links(make, monkeypatch):
+    """Texts that share common wording and nothing else: one cluster of candidates, many blocks, no links. Prefix tokens keep them apart: no sets meet across blocks."""
+    common = [f"c{k}" for k in range(60)]
+    rows = [(k, " ".join([*common, *(f"own{k}x{j}" for j in range(30))])) for k in range(40)]
+    sets = op.shingle_sets(next(op.W.runs(op.pa.array([t for _, t in rows]), "space"))[2])
+    counts = Counter()
+    for s in sets:
+        counts.update((s >> op.W.U(64 - op.SKETCH)).tolist())
+    cells = op.np.zeros(1 << op.SKETCH, op.np.int64)
+    cells[list(counts)] = list(counts.values())
+    shared = Counter(t for s in sets for t in op.prefix(s, cells, 85).tolist())
+    assert max(shared.values()) == 1
+    got = Counter(tuple(r) for r in op.near_duplicates(make(rows), block=4, rows=1).collect())
+    assert got == brute(rows)
+
+
+def test_drop_decides_by_row(make):
+    """A doc_id with two texts loses only the copy; copies without an id go too; of texts without ids one stays."""
+    a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "a b c d e f"
+    docs = make([(1, a), (7, a), (7, b), (None, a), (None, c), (None, c), (None, None), (None, None), (8, "")])
+    assert sorted(((r.doc_id, r.text) for r in op.drop_near_duplicates(docs).collect()), key=repr) == sorted([(1, a), (7, b), (None, c), (None, None), (8, "")], key=repr)
+    got = Counter(tuple(r) for r in op.near_duplicates(docs).collect())
+    assert got[None, 2, 1, False] == 1 and got[7, 2, 1, False] == 1 and got[7, 2, 7, True] == 1 and got[None, 2, None, True] == 2
+
+
 def test_drop(make):
     docs = make([(2, "a b c d e f"), (1, "A b c d e f"), (1, "A b c d e f"), (3, "x y z"), (None, "q")])
     left = op.drop_near_duplicates(docs)
