@@ -2,8 +2,8 @@
 
 The root is the smoothed unigram distribution of all training tokens. A context
 is any run of up to ``DEPTH`` preceding words that is followed by the same token
-twice or more (``LEAST``, an absolute count, so that the model grows with the
-input). Its distribution keeps the tokens seen after it so often; counts are
+four times or more (``LEAST``, an absolute count, so that the model grows with
+the input). Its distribution keeps the tokens seen after it so often; counts are
 smoothed towards the distribution of the context without its first word, and
 what is left goes to the other tokens in that distribution's proportions, so
 every state's probabilities sum to one. A context is retained if its count times
@@ -44,11 +44,11 @@ from pyspark.sql import functions as F
 from siltmill.llm import words as W
 from siltmill.llm.common import Bits, columns, prepare, removed, repeats, separate, table, written
 
-LEAST, DEPTH, FREQUENT, HOT, PRIOR, FOLDS = 2, 4, 1e-6, 3e-6, 20.0, 10
+LEAST, DEPTH, FREQUENT, HOT, PRIOR, FOLDS = 4, 4, 1e-6, 3e-6, 20.0, 10
 #: Runs of words that a task tallies at once.
 TALLIED = 3_000_000
-#: Runs of a length are counted in two passes where more than a fiftieth of the tokens' number is known, so that half as much is on the disks.
-DENSE = 50
+#: Pairs of words, the most of all runs, are counted in so many passes, so that no more than that part of them is on the disks at once.
+PASSES = 2
 END = W.mix(np.array([0x0E4D], W.U))[0]
 _SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double, rare array<struct<h:long,n:int>>, runs array<struct<h:long,n:int>>"
 
@@ -239,23 +239,23 @@ def held_out():
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int | None = DEPTH) -> list[tuple[DataFrame, DataFrame]]:
+def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int | None = DEPTH, fewest: int = LEAST) -> list[tuple[DataFrame, DataFrame]]:
     """For each length of contexts up to the longest with a state: the tokens after states (k, n, p, before, shorter), and the states (before, size, rest).
 
-    A run that comes ``LEAST`` times has its first and its last words so often,
+    A run that comes ``fewest`` times has its first and its last words so often,
     so runs are only counted where bitmaps of shorter ones have both.
     """
     spark = texts.sparkSession
-    known = counts.where(F.col("n") >= LEAST).select("k", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("p"))
+    known = counts.where(F.col("n") >= fewest).select("k", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("p"))
     shorter = known.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
     levels: list[tuple[DataFrame, DataFrame]] = []
     while depth is None or len(levels) < depth:
         bits = Bits.of(known), Bits.of(shorter.select(F.col("last").alias("k")))
         held = spark.sparkContext.broadcast(bits)
-        of = 2 if bits[1].keys * DENSE > total else 1
+        of = 1 if levels else PASSES
         counted = None
         for part in range(of):
-            rows = texts.mapInArrow(_pairs(held, len(levels) + 2, part, of), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+            rows = texts.mapInArrow(_pairs(held, len(levels) + 2, part, of), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= fewest)
             rows = written(rows, "counted")
             counted = rows if counted is None else counted.union(rows)
         sized = counted.mapInArrow(_keyed, "k long, before long, last long, n long").join(separate(known.select(F.col("k").alias("before"), F.col("n").alias("size"))), "before").join(separate(shorter), "last")
@@ -278,7 +278,7 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth:
     return levels
 
 
-def model(training: DataFrame, depth: int | None = DEPTH) -> tuple[Tree, DataFrame, DataFrame]:
+def model(training: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST) -> tuple[Tree, DataFrame, DataFrame]:
     """The tree of the training rows' texts, the counts (k, n) of all their tokens, and the rest of the model: runs that aren't in the tree, with their values (k, v)."""
     spark = training.sparkSession
     texts = training.select("text")
@@ -290,12 +290,12 @@ def model(training: DataFrame, depth: int | None = DEPTH) -> tuple[Tree, DataFra
     h = h.view(W.U)
     order = np.argsort(h)
     vocabulary = Vocabulary(h[order], n[order], total, distinct)
-    levels = grow(texts, counts, total, distinct, depth)
+    levels = grow(texts, counts, total, distinct, depth, fewest)
     values = counts.select("k", F.lit(0.0).alias("seen"), F.lit(0.0).alias("rest"), "n").where("false")
     for after, states in levels:
         values = values.union(after.select("k", "seen", F.lit(0.0).alias("rest"), "n")).union(states.select(F.col("before").alias("k"), F.lit(0.0).alias("seen"), "rest", F.col("size").alias("n")))
     values = written(values.groupBy("k").agg(F.sum("seen").alias("seen"), F.sum("rest").alias("rest"), F.max("n").alias("n")), "values")
-    least = max(LEAST, HOT * total)
+    least = max(fewest, HOT * total)
     # at most 1 / HOT runs of each length
     h, seen, rest = columns(values.where(F.col("n") >= least).select("k", "seen", "rest"))
     h = h.view(W.U)
@@ -354,12 +354,12 @@ def _scored(held):
     return scored
 
 
-def score_texts(docs: DataFrame, depth: int | None = DEPTH) -> DataFrame:
+def score_texts(docs: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST) -> DataFrame:
     """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = prepare(docs)
     docs = docs.select("doc_id", "text")
     again = repeats(docs)
-    tree, counts, values = model(docs.where(~held_out()), depth)
+    tree, counts, values = model(docs.where(~held_out()), depth, fewest)
     v = tree.vocabulary
     held = spark.sparkContext.broadcast(tree)
     rows = docs.withColumn("text_key", F.xxhash64("text") if again else F.lit(0).cast("long")).withColumn("held_out", held_out())
