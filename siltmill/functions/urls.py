@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from siltmill.functions.regex import WS, Rule, apply, strip
+from siltmill.functions.regex import DIGIT, WS, Rule, apply, strip
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 _HOST = _SCHEME + r"//([^/?#]*)"
@@ -126,8 +126,22 @@ def looks_like_date(text: Column) -> Column:
     return F.coalesce((F.length(text) >= 4) & text.rlike("|".join(DATES)), F.lit(False))
 
 
+_DAYS = "yyyy-MM-dd yyyy/MM/dd MM/dd/yyyy MM-dd-yyyy".split()
+_NAMED = ["MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy"]
+_DATE_FORMATS = [f"yyyy-MM-dd'T'{t}" for t in ("HH:mm:ss", "HH:mm")] + [d + t for d in _DAYS + _NAMED for t in ("", " HH:mm:ss", " HH:mm")]
+
+
 def normal_date(text: Column) -> Column:
-    """ISO form of the dates that ``looks_like_date`` finds alone in a text (months by name, US order); else the text."""
+    """ISO form of a date or time that a text is (months by name, US order, a weekday before it, fractions of seconds, zones as offsets); else the text without spare white space."""
     s = collapse_spaces(text)
-    tried = [F.try_to_timestamp(s, F.lit(f)) for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy", "MM-dd-yyyy", "MMMM d, yyyy", "MMM d, yyyy")]
-    return F.coalesce(F.date_format(F.coalesce(*tried), "yyyy-MM-dd'T'HH:mm:ss"), s)
+    parts = rf"^(?:[A-Za-z]{{3,9}}, )?(.*?)(?:(?<=:{DIGIT}{{2}})\.({DIGIT}{{1,6}}){DIGIT}*)?(?: ?(?<=[0-9 ])(Z|UTC|GMT|(?<=:[0-9]{{2}}.{{0,9}})[+-]{DIGIT}{{2}}:?{DIGIT}{{2}}))?$"
+    base, fraction, zone = (F.regexp_extract(s, parts, k) for k in (1, 2, 3))
+    found = F.date_format(F.coalesce(*(F.try_to_timestamp(base, F.lit(f)) for f in _DATE_FORMATS)), "yyyy-MM-dd'T'HH:mm:ss")
+    micros = F.when(F.translate(fraction, "0", "") != "", F.concat(F.lit("."), F.rpad(fraction, 6, "0"))).otherwise("")
+    offset = F.when(zone == "", "").when(zone.isin("Z", "UTC", "GMT"), "+00:00").otherwise(F.regexp_replace(zone, r"^(.\d\d):?(\d\d)$", "$1:$2"))
+    return F.coalesce(F.concat(found, micros, offset), s)
+
+
+def now_utc() -> Column:
+    """The current time as an ISO text that ends in Z."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltmill.functions.urls import normal_date
 from siltmill.operators.dom import Element, parse, select, select_one
 
 _SPACES = re.compile(r"\s+")
@@ -188,7 +189,8 @@ def extract_body(page: Column, base: Column, image_selector: Column, text_select
 
 
 def extract_published(page: Column) -> Column:
-    return F.udf(published, T.StringType(), useArrow=True)(page)
+    """A page's date in normal form."""
+    return normal_date(F.udf(published, T.StringType(), useArrow=True)(page))
 
 
 def extract_author(page: Column) -> Column:

@@ -34,6 +34,15 @@ def first_success(df: DataFrame, key: str, ok: str, order: str) -> DataFrame:
     return keep_first(df.where(F.col(ok)), [key], [order])
 
 
+def first_of(tables: list[DataFrame], key: str, ok: Column) -> DataFrame:
+    """For each key the row of the first table that has one that is ``ok``: sources in the order in which they are tried."""
+    rows = None
+    for k, t in enumerate(tables):
+        t = t.where(ok).withColumn("__source", F.lit(k))
+        rows = t if rows is None else rows.unionByName(t)
+    return keep_first(rows, [key], ["__source"]).drop("__source")
+
+
 def append(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 

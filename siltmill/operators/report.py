@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltmill.functions.urls import is_css_selector
+from siltmill.functions.urls import XPATH_MARKS, is_css_selector
 from siltmill.operators.dom import parse, select
+from siltmill.sources.io import filled
 
 COUNTERS = ("pages_processed", "articles_found", "articles_saved", "articles_skipped", "errors", "urls_collected")
 
@@ -28,7 +29,7 @@ def outcome(runs: DataFrame) -> DataFrame:
 
 def storage_stats(lines: DataFrame) -> DataFrame:
     """(file, articles): lines that aren't blank of (file, line) rows, whether or not they are JSON."""
-    return lines.groupBy("file").agg(F.count_if(F.trim("line") != "").alias("articles"))
+    return lines.groupBy("file").agg(F.count_if(filled("line")).alias("articles"))
 
 
 REQUIRED = ("id", "url", "scraped_at")
@@ -40,7 +41,7 @@ def check_records(lines: DataFrame, required: tuple[str, ...] = REQUIRED) -> Dat
     good = F.lit(True)
     for k in required:
         good &= F.array_contains(keys, k)
-    return lines.where(F.trim("line") != "").select("file", "line_no", F.try_parse_json("line").isNotNull().alias("is_json"), F.coalesce(good, F.lit(False)).alias("is_complete"))
+    return lines.where(filled("line")).select("file", "line_no", F.try_parse_json("line").isNotNull().alias("is_json"), F.coalesce(good, F.lit(False)).alias("is_complete"))
 
 
 def validation_report(lines: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
@@ -56,6 +57,7 @@ def validation_report(lines: DataFrame, required: tuple[str, ...] = REQUIRED) ->
     )
 
 
+# Fixed value: the page on which selectors are tried.
 SAMPLE_PAGE = """<html><body><div class="content-right"><div class="article-container"><article class="post">
 <h4 class="title">Title</h4><p class="excerpt">Text</p></article></div></div>
 <div class="sidebar"><h4 class="widget-title">Side</h4></div></body></html>"""
@@ -70,11 +72,12 @@ def lint(css: str | None) -> tuple:
     s = (css or "").strip()
     if not s:
         return False, 0, ["the selector is empty"], [], []
+    xpath = ["the selector holds marks of XPath"] if any(m in s for m in XPATH_MARKS) else []
     try:
         n = len(select(parse(SAMPLE_PAGE), s))
     except ValueError as e:
-        return False, 0, [str(e)], [], []
-    warnings = [w for w, on in (("more than 3 child steps", s.count(">") > 3), ("more than 5 blanks", s.count(" ") > 5)) if on]
+        return False, 0, [str(e)], xpath, []
+    warnings = xpath + [w for w, on in (("the selector is valid but matches nothing on the sample page", n == 0), ("more than 3 child steps", s.count(">") > 3), ("more than 5 blanks", s.count(" ") > 5)) if on]
     hints = [h for h, on in (("a class alone may match elsewhere", "." in s), ("ids may change between pages", "#" in s)) if on]
     return True, n, [], warnings, hints
 

@@ -159,7 +159,7 @@ def _(spark, d):
     return _table(spark, d, "pages").select("page_id", items[0]["thumbnail_url"].alias("thumbnail_url"))
 
 
-@_query("p14_p17_date_and_author", "SELECT page_id, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') AS published, 'Writer ' || page_id AS author FROM pages")
+@_query("p14_p17_date_and_author", "SELECT page_id, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || 'T00:00:00' AS published, 'Writer ' || page_id AS author FROM pages")
 def _(spark, d):
     n = F.col("page_id")
     page = F.concat(F.lit('<time datetime="2024-01-'), F.lpad((n % 28 + 1).cast("string"), 2, "0"), F.lit('">x</time><p class="byline"> Writer  '), n.cast("string"), F.lit("</p>"), F.col("html"))
@@ -199,19 +199,37 @@ _on_documents("f17_roots", text.mark_roots, r"regexp_replace(t, 'sqrt\(([^)]+)\)
 _on_documents("f18_equations", pytext.convert_equations, None, "", "\nx =  5, y = one right side that is much too long")
 _on_documents("f19_pictures", text.remove_pictures, f"regexp_replace(regexp_replace(t, {quoted(text.PICTURES)}, '', 'g'), {quoted(text.SYMBOLS)}, '', 'g')", "★😀 漢字 ", " a → b 🚀°")
 _on_documents("f20_spacing", text.normal_spacing, _rules(text.SPACING), "\t\t x    y\n\n\n\n", "\n \n\t\n    z")
-_on_documents("f21_normal_format", lambda t: regex.strip(text.normal_spacing(text.remove_pictures(pytext.decode_entities(t)))), None, "★ a\u00a0&nbsp; b\t", "&lt;x&gt;  ")
+_pictures = lambda e: f"regexp_replace(regexp_replace({e}, {quoted(text.PICTURES)}, '', 'g'), {quoted(text.SYMBOLS)}, '', 'g')"
+_plain = lambda e: f"regexp_replace({e}, '[\\x00-\\x1f\\x7f]', '', 'g')"
+_on_documents("f21_normal_format", lambda t: regex.strip(text.normal_spacing(text.remove_pictures(pytext.decode_entities(t)))), _strip(_rules(text.SPACING, _pictures(f"'★ a   b' || {_plain('t')} || '<x>  '"))), "★ a\u00a0&nbsp; b\t", "&lt;x&gt;  ", bare=True)
 _on_documents("f22_for_comparison", text.for_comparison, "replace(replace(replace(t, ' ', ''), chr(9), ''), chr(10), '')")
 _on_documents("f23_for_counting", text.for_counting, _rules(text.COUNTING), "[IMAGE : http://x.y/z] ", " see https://a.example/b?c www.q.org me@site.org end.Next")
 _on_documents("f24_word_count", text.count_words, f"len(list_filter(string_split({_rules(text.COUNTING)}, ' '), lambda w: w <> ''))::BIGINT", "", " see www.q.org")
 
 
-@_query("f1_clean_title")
+def _steps(first: str, *steps: str) -> str:
+    """Steps of SQL over t, one sub-query each, so that no expression holds another twice."""
+    inner = first
+    for e in steps:
+        inner = f"SELECT k, {e} AS t FROM ({inner})"
+    return inner
+
+
+# texts of the tables have no marks of another encoding, headings of references, fractions or entities but the three of titles
+_BOTH = [_rules(text.AGENCY), "CASE " + " ".join(f"WHEN {_has('t', p)} THEN {_rules([regex.Rule(p)])}" for p in text.VERSIONS) + " ELSE t END", _strip(_rules(text.QUOTES, _strip("t"))), "CASE WHEN contains(lower(t), 'botupload') THEN '' ELSE t END", _strip(_rules(text.DASHES))]
+_EQUATION = rf"'^(.*?)([a-zA-Z]){regex.WS}*={regex.WS}*(.+)$'"
+_EQUATIONS = f"array_to_string(list_transform(string_split(t, ','), lambda x: CASE WHEN regexp_matches(x, {_EQUATION}) AND length({_strip(f'regexp_extract(x, {_EQUATION}, 3)')}) <= 20 THEN regexp_extract(x, {_EQUATION}, 1) || '$' || regexp_extract(x, {_EQUATION}, 2) || ' = ' || {_strip(f'regexp_extract(x, {_EQUATION}, 3)')} || '$' ELSE x END), ',')"
+_TITLE_STEPS = _steps("SELECT page_id AS k, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS t FROM pages", "replace(t, 'x', '')", f"replace(replace(replace({_plain('t')}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')", *_BOTH, _strip(_rules(urls.SPACES)))
+_TEXT_STEPS = _steps("SELECT doc_id AS k, coalesce(text, '') AS t FROM documents", _rules(text.TAGS), _plain("t"), *(_rules([r]) for r in text.BOILERPLATE), _strip("t"), "replace(t, 'x', '')", *_BOTH, _rules(text.EXPONENTS), _rules(text.ROOTS), _EQUATIONS, _pictures("t"), _strip(_rules(text.SPACING)))
+
+
+@_query("f1_clean_title", f"SELECT k AS page_id, t AS title FROM ({_TITLE_STEPS})")
 def _(spark, d):
     df = _table(spark, d, "pages").select("page_id", F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1).alias("t"), F.array(F.lit("x")).alias("k"))
     return pipelines.clean_title(df, "t", "k", "title").select("page_id", "title")
 
 
-@_query("f2_clean_text")
+@_query("f2_clean_text", f"SELECT k AS doc_id, t AS v FROM ({_TEXT_STEPS})")
 def _(spark, d):
     df = _table(spark, d, "documents").select("doc_id", "text", F.array(F.lit("x")).alias("k"))
     return pipelines.clean_text(df, "text", "k", "v").select("doc_id", "v")
@@ -391,10 +409,10 @@ def _raw(spark, d) -> DataFrame:
     p = _table(spark, d, "pages").withColumn("n", F.explode(F.when(F.col("page_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     title = F.concat(F.lit("Page "), F.col("page_id").cast("string"))
     record = F.struct(F.md5("url").alias("id"), title.alias("title"), "url", F.col("html").alias("raw_html_content"))
-    return p.select(F.lit("web").alias("site"), F.struct(F.col("n").cast("long").alias("block"), F.col("page_id").alias("n")).alias("place"), F.to_json(record).alias("line"))
+    return p.select(F.concat(F.lit("web"), (F.col("page_id") % 2).cast("string")).alias("site"), F.struct(F.col("n").cast("long").alias("block"), F.col("page_id").alias("n")).alias("place"), F.to_json(record).alias("line"))
 
 
-_CONFIG = {"defaults": {"domain": "News"}, "sites": {"web": {"main_text_selector": "article", "removal_classes": ["nav"], "text_removal_keywords": []}}}
+_CONFIG = {"defaults": {"domain": "News", "main_text_selector": "article", "removal_classes": ["nav"], "text_removal_keywords": []}, "sites": {"web0": {}, "web1": {}}}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,12 +49,12 @@ def _articles(title: pd.Series, page: pd.Series, url: pd.Series, image_selector:
     return pd.DataFrame(rows, columns=["title", "text"], dtype=object)
 
 
-def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, script: str | None = MYANMAR, least: int = 1000, to_unicode: Hook | None = None) -> tuple[DataFrame, DataFrame]:
+def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, script: str | None = MYANMAR, least: int = 1000, to_unicode: Hook | None = None, seen: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean articles and rejected lines of (site, place, line).
 
     The first record of a site's id is chosen before any text is touched: ids
     don't depend on texts, and a first record that fails the gate suppresses
-    later ones, as is defined. Records of all sites go in one plan. The Arrow
+    later ones, as is defined; so does a key of ``seen`` (site, id). Records of all sites go in one plan. The Arrow
     step is marked so that the gate's filter isn't moved below it, where it
     would be computed a second time.
     """
@@ -62,6 +62,8 @@ def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, s
     rows, rejects = parse_records(lines.where(F.col("site") == site) if site else lines)
     rows = rows.select("site", "place", urls.article_id(F.col("url")).alias("id"), "url", "title", "raw_html_content")
     first = relational.keep_first(rows, ["site", "id"], ["place"])
+    if seen is not None:
+        first = first.join(seen, ["site", "id"], "left_anti")
     df = relational.lookup(first, config, CLEANING_DEFAULTS)
     settings = [F.col(c) for c in ("feature_image_selector", "main_text_selector", "removal_classes", "title_removal_keywords", "text_removal_keywords")]
     if to_unicode is None:

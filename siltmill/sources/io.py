@@ -8,14 +8,21 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from siltmill.functions.regex import NOT_WS, java, strip
+
 RAW = "id string, title string, url string, thumbnail_url string, raw_html_content string, scraped_date string, source_url string"
 CLEAN = "id string, title string, text string, domain string, url string"
 FORMATS = ("ndjson", "json", "parquet")
 
 
+def filled(line: str) -> Column:
+    """Whether a line holds more than white space, of any kind."""
+    return F.col(line).rlike(java(NOT_WS))
+
+
 def site_of(path: Column) -> Column:
     """A file's name without folders and its last ending."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
@@ -37,7 +44,7 @@ def parse_records(lines: DataFrame, schema: str = RAW) -> tuple[DataFrame, DataF
     keys = F.json_object_keys("line")
     null = lambda k: F.array_contains(keys, k) & F.get_json_object("line", f"$.{k}").isNull()
     reason = F.when(F.try_parse_json("line").isNull(), "not json").when(keys.isNull(), "not an object").when(null("url"), "null url").when(null("title"), "null title")
-    full = lines.where(F.trim("line") != "").withColumn("reason", reason)
+    full = lines.where(filled("line")).withColumn("reason", reason)
     good = full.where("reason is null").withColumn("r", F.from_json("line", schema)).select("site", "place", "r.*")
     for c in ("url", "title", "raw_html_content"):
         good = good.withColumn(c, F.coalesce(c, F.lit("")))
@@ -53,7 +60,7 @@ def read_articles(spark: SparkSession, path: str, form: str = "ndjson", schema:
 
 
 def read_urls(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.trim("value").alias("url")).where("url != ''")
+    return spark.read.text(path).select(strip(F.col("value")).alias("url")).where("url != ''")
 
 
 def existing_ids(spark: SparkSession, path: str, form: str = "ndjson") -> DataFrame:
@@ -77,9 +84,28 @@ def save_articles(df: DataFrame, path: str, form: str = "ndjson") -> None:
     w.parquet(path) if form == "parquet" else w.option("ignoreNullFields", False).json(path)
 
 
+def save_batch(df: DataFrame, path: str, form: str = "ndjson") -> int:
+    """Append records and give their number, which is counted as they are written."""
+    seen = Observation()
+    save_articles(df.observe(seen, F.count(F.lit(1)).alias("n")), path, form)
+    return seen.get["n"]
+
+
+def file_stats(spark: SparkSession, path: str, form: str = "ndjson") -> dict:
+    """Whether a store exists, its bytes, and its records: lines that aren't blank, or elements of arrays."""
+    _check(form)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    out = {"output_file": path, "format_type": form, "file_exists": files.exists(folder), "file_size": 0, "article_count": 0}
+    if out["file_exists"]:
+        out["file_size"] = files.getContentSummary(folder).getLength()
+        out["article_count"] = spark.read.text(path).where(filled("value")).count() if form == "ndjson" else read_articles(spark, path, form, "id string").agg(F.count("id") + F.count_if(F.col("id").isNull())).first()[0]
+    return out
+
+
 def save_clean(df: DataFrame, path: str) -> None:
-    """Overwrite the cleaned records, a folder for each site. Rows are dealt by site and salt, so a large site is many tasks and files."""
-    df.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(8))).repartition("site", "__salt").drop("__salt").write.mode("overwrite").partitionBy("site").option("ignoreNullFields", False).json(path)
+    """Overwrite the cleaned records, a folder for each site. Sites are rebalanced, so that adaptive execution writes a large one in as many tasks and files as its bytes ask for."""
+    df.hint("rebalance", F.col("site")).write.mode("overwrite").partitionBy("site").option("ignoreNullFields", False).json(path)
 
 
 def export_array(df: DataFrame, path: str) -> int:

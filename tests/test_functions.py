@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltmill.functions import pytext, text, urls
+from siltmill.functions import pytext, regex, text, urls
 
 
 def values(spark, f, inputs):
@@ -66,3 +66,36 @@ def test_page_urls(spark):
     df = spark.createDataFrame([("http://h/a/", "?p={n}", 3, 1, None), ("http://h/a/", "/page/{n}", 20, 9, None), ("http://h/a", "&p={n}", 2, 1, 5), ("http://h", None, 9, 1, None)], "b string, p string, m int, i int, r int")
     got = [[x.url for x in r.u] for r in df.select(urls.page_urls(F.col("b"), F.lit("queryparam"), F.col("p"), F.col("m"), F.col("i"), F.col("r")).alias("u")).collect()]
     assert got == [["http://h/a/", "http://h/a/?p=2", "http://h/a/?p=3"], ["http://h/a/", "http://h/a/page/9", "http://h/a/page/18", "http://h/a/page/27"], ["http://h/a"], ["http://h"]]
+
+
+def test_normal_dates(spark):
+    cases = {
+        "2024-05-06": "2024-05-06T00:00:00",
+        " 2024-05-06T07:08:09Z": "2024-05-06T07:08:09+00:00",
+        "2024-05-06T07:08:09.250+0630": "2024-05-06T07:08:09.250000+06:30",
+        "2024-05-06T07:08:09.000-03:00": "2024-05-06T07:08:09-03:00",
+        "2024-05-06 07:08": "2024-05-06T07:08:00",
+        "Mon, 6 May 2024 07:08:09 GMT": "2024-05-06T07:08:09+00:00",
+        "May 6,  2024": "2024-05-06T00:00:00",
+        "05/06/2024": "2024-05-06T00:00:00",
+        "no date": "no date",
+        "2024-13-45": "2024-13-45",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "s string").select("s", urls.normal_date(F.col("s")).alias("v"))
+    assert {r.s: r.v for r in df.collect()} == cases
+
+
+def test_one_step_like_the_steps(spark):
+    """The chain in one Arrow step against the single steps as columns."""
+    texts = [
+        "<p>Hello &amp; you</p>\nread more here", "share this  \u2003 [ Like ] x^2 is 3 ^ 2, y = 4", "A (Xinhua) text ———— tail\n(Xinhua/Name).", "so (English version) gone",
+        " == ကိုးကား ==  notes ", "botupload line\nother -- line", "ZG zawgyi", "1/2 of sqrt(x)\t|a|b\n|c|d\n", "\u0130ad \u212aenu: x", "★ 漢字   end", "", "   ", "\u2003\u2003\u2003\u2003x \u200b",
+        "all  rights reserved now", "li[share]ke me", "… dots\n… more", 'q "a" \\ b',
+    ]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    keys = F.array(F.lit("x"))
+    c = pytext.remove_boilerplate(pytext.decode_entities(text.remove_tags(F.col("t"))))
+    for step in (lambda v: text.remove_keywords(v, keys), text.cut_zawgyi, text.remove_agency, text.fold_references, text.remove_quotes, text.remove_bot_lines, text.fold_dashes, pytext.convert_formulas, pytext.decode_entities, text.remove_pictures, text.normal_spacing, regex.strip):
+        c = step(c)
+    got = df.select("k", c.alias("want"), pytext.clean_texts()(F.col("t"), keys).alias("v")).collect()
+    assert {r.k: r.v for r in got} == {r.k: r.want for r in got}

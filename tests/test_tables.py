@@ -62,6 +62,7 @@ def test_parse_and_clean(spark, tmp_path):
         "[1, 2]",
         "{broken",
         "",
+        "\t \u2003",
     ]
     _lines(tmp_path / "site1.jsonl", rows)
     cfg = config.site_table(spark, {"sites": {"site1": {"domain": "D", "main_text_selector": "p"}}}, config.CLEANING)
@@ -80,11 +81,22 @@ def test_stream_is_incremental(spark, tmp_path):
     row = lambda k: {"url": f"http://a/{k}", "title": "Title", "raw_html_content": "<p>" + "word " * 300}
     _lines(src / "s.jsonl", [row(1), row(2), row(1)])
     clean_stream(spark, str(src), str(sink), str(check), cfg, script=None).awaitTermination()
-    assert spark.read.parquet(str(sink)).count() == 2
+    assert spark.read.parquet(f"{sink}/clean").count() == 2
     (src / "more").mkdir()
-    _lines(src / "s2.jsonl", [row(5)])
+    _lines(src / "s2.jsonl", [row(5), {"url": "http://a/6", "title": "Title", "raw_html_content": "<p>short"}, "{broken"])
     clean_stream(spark, str(src), str(sink), str(check), cfg, script=None).awaitTermination()
-    assert spark.read.parquet(str(sink)).count() == 3
+    assert spark.read.parquet(f"{sink}/clean").count() == 3
+    assert [r.reason for r in spark.read.parquet(f"{sink}/rejects").collect()] == ["not json"]
+
+
+def test_stream_remembers_first_records(spark, tmp_path):
+    """A first record that failed the gate in an earlier batch suppresses a later one, as in one batch."""
+    src, sink, check = tmp_path / "in", tmp_path / "out", tmp_path / "check"
+    for k, rows in enumerate([[("1", "short"), ("2", "word " * 300)], [("1", "word " * 300), ("2", "word " * 300), ("3", "word " * 300)]]):
+        (src / f"d{k}").mkdir(parents=True)
+        _lines(src / f"d{k}" / "s.jsonl", [{"url": f"http://a/{u}", "title": "Title", "raw_html_content": f"<p>{t}"} for u, t in rows])
+        clean_stream(spark, f"{src}/*", str(sink), str(check), config.site_table(spark, {"sites": {}}, config.CLEANING), script=None).awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(f"{sink}/clean").collect()) == ["http://a/2", "http://a/3"]
 
 
 def test_io_round_trip(spark, tmp_path):
@@ -103,6 +115,14 @@ def test_io_round_trip(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "c")).count() == 1
     with pytest.raises(ValueError):
         io.save_articles(df, path, "csv")
+    assert io.save_batch(df.union(df), str(tmp_path / "b")) == 2 and io.existing_ids(spark, str(tmp_path / "b")).count() == 1
+    got = io.file_stats(spark, str(tmp_path / "b"))
+    assert (got["file_exists"], got["article_count"]) == (True, 2) and got["file_size"] > 20
+    assert io.file_stats(spark, str(tmp_path / "none"))["file_exists"] is False
+    (tmp_path / "arr.json").write_text('[{"id": "a", "title": "x"},\n {"id": "b"}]')
+    assert {r.id for r in io.read_articles(spark, str(tmp_path / "arr.json"), "json").collect()} == {"a", "b"} and io.file_stats(spark, str(tmp_path / "arr.json"), "json")["article_count"] == 2
+    (tmp_path / "urls.txt").write_text("\thttp://a \u00a0\n\t\n\u2003\nhttp://b\n")
+    assert [r.url for r in io.read_urls(spark, str(tmp_path / "urls.txt")).collect()] == ["http://a", "http://b"]
 
 
 def test_config(spark, tmp_path):
@@ -125,3 +145,21 @@ def test_robots():
     rules = "User-agent: bad\nDisallow: /\n\nUser-agent: *\nDisallow: /private/"
     assert may_fetch("http://h/a", rules) and not may_fetch("http://h/private/a", rules) and not may_fetch("http://h/a", rules, "bad")
     assert may_fetch("http://h/a", None) and may_fetch(None, "")
+
+
+def test_first_of(spark):
+    a, b = (spark.createDataFrame(r, "url string, html string") for r in ([("x", None), ("y", "1")], [("x", "2"), ("y", "3"), ("z", "4")]))
+    assert {tuple(r) for r in relational.first_of([a, b], "url", F.col("html").isNotNull()).collect()} == {("x", "2"), ("y", "1"), ("z", "4")}
+
+
+def test_selector_warnings():
+    assert report.lint("div.none")[3] == ["the selector is valid but matches nothing on the sample page"]
+    assert report.lint("//div")[3] == ["the selector holds marks of XPath"] and report.lint("h4")[3] == []
+
+
+def test_clean_plan(spark):
+    """One Arrow step, no nested loops, and each site's settings by a join."""
+    from siltmill.plans import catalog
+
+    plan = catalog.flagship(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "NestedLoop" not in plan and plan.count("regexp_replace") == 1  # the gate's
