@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import Bits, prepare, separate, table, with_texts, written
+from siltmill.llm.common import Bits, prepare, table, with_texts, written
 
 SPAN, K = 13, 9
 #: Bytes of distinct benchmark texts up to which their fingerprints are broadcast.
@@ -295,7 +295,7 @@ def _joined_hits(rows: DataFrame, benchmark: DataFrame, span: int, k: int) -> Da
     theirs = written(items.mapInArrow(_printed(families, ["item"], True), f"item string, {_PRINT}").select("item", "print", F.col("around").alias("own")).distinct(), "prints")
     bits = spark.sparkContext.broadcast(Bits.of(theirs.select(F.col("print").alias("k"))))
     mine = rows.mapInArrow(_printed(families, ["doc_id", "text_key"], False, bits), f"doc_id long, text_key long, n_words long, {_PRINT}")
-    hits = mine.join(separate(theirs), "print").mapInArrow(_extended(span, k), "doc_id long, text_key long, n_words long, item string, start int, end int")
+    hits = mine.join(theirs, "print").mapInArrow(_extended(span, k), "doc_id long, text_key long, n_words long, item string, start int, end int")
     # equal rows have equal hits, so a repeated row needs them once
     hits = hits.groupBy("doc_id", "text_key", "n_words").agg(F.collect_set(F.struct("start", "end")).alias("parts"), F.array_sort(F.collect_set("item")).alias("items"))
     return hits.mapInArrow(_merge, _HITS)

@@ -318,7 +318,7 @@ def _labels(docs: DataFrame, nodes: DataFrame, percent: int, k: int, block: int,
 
 def _rejoined(loose: DataFrame, label: DataFrame, percent: int, block: int, shingles: int, width: int) -> DataFrame:
     """The labels (node, component), with components joined that have links between the loose sets (node, shingles, component)."""
-    sets = loose.join(separate(_finer(loose, percent)), "node")
+    sets = loose.join(_finer(loose, percent), "node")
     dealt = written(_dealt(sets, block, shingles), "finer")
     blocks = F.ceil(F.greatest(F.col("out_n") / block, F.col("out_m") / shingles)).cast("long")
     split = written(dealt.join(separate(_several(dealt).select("cluster", "most", blocks.alias("s_blocks"))), "cluster"), "split")
@@ -370,7 +370,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHIN
     same_id = F.col("doc_id").eqNullSafe(F.col("component_id"))
     gone = written(found.where(~F.col("stays") | ~same_id).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "gone")
     remove_since(docs.sparkSession, mark, gone)
-    left = docs.join(separate(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
+    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
     return left.dropDuplicates(["doc_id", "text"]) if repeats(docs) else left
 
 

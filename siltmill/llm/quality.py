@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import prepare, table, written
+from siltmill.llm.common import prepare, removed, table, written
 
 THRESHOLD, FOLDS = 0.3, 5
 POOL, RIDGE = 0.1, 0.05
@@ -146,10 +146,11 @@ class Discriminant:
         scatter = {k: sums[k][1:, 1:] - n[k] * np.outer(mean[k], mean[k]) for k in n}
         pooled = (scatter[0] + scatter[1]) / (n[0] + n[1])
         diagonal = np.diag(np.diag(pooled) + 1e-6)
-        self.mean, self.factor, self.log_det = mean, {}, {}
+        self.mean, self.factor, self.inverse, self.log_det = mean, {}, {}, {}
         for k in n:
             cov = (1 - pool) * (scatter[k] + D * pooled) / (n[k] + D) + pool * pooled
             self.factor[k] = np.linalg.cholesky((1 - ridge) * cov + ridge * diagonal)
+            self.inverse[k] = np.linalg.inv(self.factor[k])
             self.log_det[k] = 2 * np.log(np.diag(self.factor[k])).sum()
         self.prior = np.log(n[1] / n[0])
 
@@ -158,8 +159,8 @@ class Discriminant:
             return np.full(len(x), self.constant)
         density = {}
         for k in (0, 1):
-            z = np.linalg.solve(self.factor[k], (x - self.mean[k]).T)
-            density[k] = -0.5 * ((z**2).sum(axis=0) + self.log_det[k])
+            z = (x - self.mean[k]) @ self.inverse[k].T
+            density[k] = -0.5 * ((z**2).sum(axis=1) + self.log_det[k])
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0] + self.prior, -50, 50)))
 
 
@@ -207,7 +208,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The documents that score ``threshold`` or more; columns stay. Texts don't move: statistics are taken where they lie, once for the fit and once for the filter."""
     prepare(docs)
     measured = written(docs.select("doc_id", "text").mapInArrow(_measured, "doc_id long, x array<double>"), "measured")
-    return docs.mapInArrow(_kept(fit(measured, labels), threshold), docs.schema)
+    model = fit(measured, labels)
+    removed(measured)
+    return docs.mapInArrow(_kept(model, threshold), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

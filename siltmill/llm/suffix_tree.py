@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import Bits, columns, prepare, removed, repeats, separate, table, written
+from siltmill.llm.common import Bits, columns, prepare, removed, repeats, table, written
 
 LEAST, DEPTH, FREQUENT, HOT, PRIOR, FOLDS = 4, 4, 1e-6, 3e-6, 20.0, 10
 #: Runs of words that a task tallies at once.
@@ -258,7 +258,7 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth:
             rows = texts.mapInArrow(_pairs(held, len(levels) + 2, part, of), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= fewest)
             rows = written(rows, "counted")
             counted = rows if counted is None else counted.union(rows)
-        sized = counted.mapInArrow(_keyed, "k long, before long, last long, n long").join(separate(known.select(F.col("k").alias("before"), F.col("n").alias("size"))), "before").join(separate(shorter), "last")
+        sized = counted.mapInArrow(_keyed, "k long, before long, last long, n long").join(known.select(F.col("k").alias("before"), F.col("n").alias("size")), "before").join(shorter, "last")
         pairs = written(sized.select("k", "before", "n", "size", "shorter"), "pairs").withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
         held.unpersist()
         raw, left = F.col("n") / F.col("size"), F.greatest(1 - F.col("shorter_sum"), F.lit(1e-12))
@@ -272,7 +272,7 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth:
         states = written(states.where(passed).select("before", "size", rest.alias("rest")), "states")
         if not states.take(1):
             return levels
-        after = written(pairs.join(separate(states.select("before", "rest")), "before").select("k", "n", "p", "before", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen")), "after")
+        after = written(pairs.join(states.select("before", "rest"), "before").select("k", "n", "p", "before", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen")), "after")
         levels.append((after, states))
         known, shorter = pairs.select("k", "n"), after.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
     return levels
@@ -370,8 +370,10 @@ def score_texts(docs: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST)
     base = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / (v.total + 0.1 * (v.distinct + 1)))
     least = max(1, FREQUENT * v.total)
     sums = rare.join(counts.where(F.col("n") < least), "k", "left").groupBy("id", "text_key").agg(F.sum(F.col("m") * base).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("rare_known"))
+    sums = written(sums, "sums")  # one by one, so that the two shuffles aren't on the disks together
     runs = scored.select(key.alias("id"), "text_key", F.explode("runs").alias("r")).select("id", "text_key", F.col("r.h").alias("k"), F.col("r.n").alias("m"))
     gains = runs.join(values, "k").groupBy("id", "text_key").agg(F.sum(F.col("m") * F.col("v")).alias("rare_added"))
+    gains = written(gains, "gains")
     out = scored.drop("rare", "runs")
     for found in (sums, gains):
         found = found.withColumnRenamed("text_key", "sum_key")

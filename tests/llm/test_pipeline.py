@@ -39,3 +39,32 @@ def test_empty(spark, sf):
         docs = written(stage(spark, docs, sf), name)
         assert docs.count() == 0
     assert cp.STAGES[-1][1](spark, docs, sf).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark, sf):
+    """Nulls in every column, repeated ids and rows, empty and very long texts, and columns named like the operators' own: each stage
+    keeps the columns and gives its defined result."""
+    line = "Every reader of this page knows the sentence that stands here again."
+    good = [f"{' '.join(f'word{i}x{k}' for i in range(30))}. {line} And a last own sentence number {k} closes it." for k in range(6)]
+    leak = next(r.text for r in table(spark, sf, "benchmark").collect() if r.text and len(r.text.split()) > 20)
+    rows = [(1, good[0]), (2, good[0]), (2, good[1]), (None, good[0]), (None, good[2]), (None, good[2]), (3, good[3]), (3, good[3]), (4, None), (5, ""), (6, leak), (7, good[4] + " more words" * 40_000), (None, None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, cluster string, rank_id int, score string, kept boolean, h int"
+    docs = spark.createDataFrame([(i, t, None, None, None if t is None else len(t), "n", "c", 1, "s", None, 2) for i, t in rows], schema)
+    stages = dict(cp.STAGES)
+    kept = written(stages["near_dedup"](spark, docs, sf), "n")
+    assert kept.columns == docs.columns
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "", r.text is None)
+    got = sorted(kept.collect(), key=key)
+    assert [(r.doc_id, r.text) for r in got] == [(1, good[0]), (2, good[1]), (3, good[3]), (4, None), (5, ""), (6, leak), (7, rows[11][1]), (None, None), (None, good[2])]
+    cut = written(stages["substring_dedup"](spark, kept, sf), "s")
+    texts = {(r.doc_id, r.text is None): r for r in cut.collect()}
+    assert cut.columns == docs.columns and len(texts) == 9
+    # the null id comes first and keeps the line
+    assert line in texts[None, False].text and not any(line in texts[i, False].text for i in (1, 2, 3, 7))
+    assert texts[1, False].n_chars == len(texts[1, False].text) and texts[4, True].text is None and texts[5, False].text == ""
+    clean = written(stages["decontamination"](spark, cut, sf), "d")
+    assert clean.columns == docs.columns and {(r.doc_id, r.text is None) for r in clean.collect()} == texts.keys() - {(6, False)}
+    packed = stages["best_fit_packing"](spark, clean, sf)
+    assert {r.doc_id for r in packed.collect()} == {1, 2, 3, 4, 5, 7, None}
+    scored = stages["quality_classifier"](spark, docs, sf)
+    assert scored.columns == docs.columns and scored.count() <= docs.count()
