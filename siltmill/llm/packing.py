@@ -56,19 +56,30 @@ def patterns(classes: int, parts: int) -> list[tuple[int, ...]]:
     return out
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 600) -> np.ndarray:
-    """x >= 0 that nearly minimises |ax - b|, by accelerated projected gradients."""
+def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 5000, near: float = 1e-6) -> np.ndarray:
+    """x >= 0 that minimises |ax - b|, by accelerated projected gradients with restarts.
+
+    It ends when the optimality conditions hold to ``near`` of the largest
+    gradient at 0: no gradient is below it, nor above it where x is positive.
+    """
     v = np.ones(a.shape[1])
     for _ in range(30):
         v = a.T @ (a @ v)
         v /= np.linalg.norm(v) or 1
     step = 1 / max(np.linalg.norm(a.T @ (a @ v)), 1e-9)
     x = y = np.zeros(a.shape[1])
+    bound = near * max(float(np.abs(a.T @ b).max(initial=0)), 1e-12)
     t = 1.0
-    for _ in range(rounds):
+    for k in range(rounds):
         z = np.maximum(y - step * (a.T @ (a @ y - b)), 0)
         u = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        if (y - z) @ (z - x) > 0:  # the momentum leads up again
+            t, u = 1.0, 1.0
         y, x, t = z + (t - 1) / u * (z - x), z, u
+        if k % 20 == 19:
+            g = a.T @ (a @ x - b)
+            if (g >= -bound).all() and (g[x > 0] <= bound).all():
+                break
     return x
 
 

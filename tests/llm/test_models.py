@@ -204,3 +204,27 @@ def test_language_held_out(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     r = langid.identify(docs, sample=300).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(r) > 150 and np.mean([x.lang_pred == x.lang for x in r]) > 0.95
+
+
+def test_sample_has_rare_languages_and_bounded_bytes(spark):
+    rows = [(k, f"word{k} of a text", "en" if k % 500 else "xx") for k in range(3000)] + [(5000 + k, "long " * 30_000, "yy") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = langid.training_sample(docs, sample=60, most=6000)
+    n = Counter(lang for _, lang in got)
+    assert 15 <= n["en"] <= 20 and n["xx"] >= 2 and n["yy"] == 1
+    assert sum(len(t) for t, lang in got if lang != "yy") < 6000
+
+
+def test_words_of_mixed_texts(spark, make):
+    """Code-switched text: every word gets its own language, and the switches are counted."""
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").where("lang in ('en', 'de')")
+    field = langid.fit(langid.training_sample(docs, 200))
+    pick = lambda lang: next(r.text for r in docs.where(f"lang = '{lang}' and length(text) between 300 and 3000").orderBy("doc_id").collect())
+    a, b = (" ".join(re.findall(r"[^\W\d_]+", pick(lang))[:12]) for lang in ("en", "de"))
+    x = W.split(*W.buffer_of(pa.array([f"{a} {b}"])), "alnum")
+    best = [field.labels[k] for k in field.words(x).argmax(axis=1)]
+    n = len(a.split())
+    assert best[:n].count("en") > 0.8 * n and best[n:].count("de") > 0.8 * (len(best) - n)
+    every = langid.label_words(docs.limit(5), 50).collect()
+    assert {r.lang for r in every} <= {"en", "de"} and all(0 < r.marginal <= 1.0001 for r in every)

@@ -48,6 +48,13 @@ def test_files(spark, make, tmp_path):
             want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
             at += len(ids)
         assert sorted(got, key=lambda r: r[1]) == want
+    # one id with a third of all rows, all alike: its rows are cut over shards
+    hot = [(k, f"text {k}") for k in range(400)] + [(7, "the same text again")] * 200
+    token_files.write_ids(make(hot), f"file://{tmp_path}/hot", shard_bytes=200)
+    blocks = spark.read.parquet(f"file://{tmp_path}/hot/blocks").select("shard", "doc_ids").collect()
+    assert sum(7 in r.doc_ids for r in blocks) > 2 and max(len(r.doc_ids) for r in blocks) < 150
+    got = sorted((r.start, r.doc_id) for r in token_files.read_ids(spark, f"file://{tmp_path}/hot").collect())
+    assert [d for _, d in got] == sorted(d for d, _ in hot)
     token_files.write_ids(make([]), f"file://{tmp_path}/none")
     assert token_files.read_ids(spark, f"file://{tmp_path}/none").count() == 0
 
@@ -89,3 +96,9 @@ def test_nnls_and_patterns():
     a = np.array([[1.0, 0, 1], [0, 1, 1]])
     x = packing.nnls(a, np.array([3.0, 2.0]))
     assert (x >= 0).all() and np.allclose(a @ x, [3, 2], atol=1e-3)
+    # the optimality conditions, on a problem with more patterns than lengths
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 4, (30, 200)).astype(float), rng.integers(0, 1000, 30).astype(float)
+    x = packing.nnls(a, b)
+    g, bound = a.T @ (a @ x - b), 1e-5 * np.abs(a.T @ b).max()
+    assert (x >= 0).all() and (g >= -bound).all() and (g[x > 0] <= bound).all()

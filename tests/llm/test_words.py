@@ -1,4 +1,7 @@
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -36,3 +39,26 @@ def test_long_text_and_kgrams():
     g = W.kgrams(x.hash, 3)
     assert len(g) == 999_998 and len(np.unique(g)) == 2
     assert len(W.kgrams(x.hash[:2], 3)) == 0
+
+
+def test_pieces_of_a_long_text(monkeypatch):
+    """Hashes don't depend on how a long text is cut into pieces, nor on a word that is longer than a piece."""
+    rng = np.random.default_rng(4)
+    text = " ".join(rng.choice(["ab", "cdé", "x" * 40, "y\n", "z" * 3000], 4000))
+    want = {k: W.split(*W.buffer_of(pa.array([text, None, "", text[:500]])), k) for k in PATTERNS}
+    monkeypatch.setattr(W, "CHUNK", 500)
+    monkeypatch.setattr(W, "_powers", (np.ones(1, W.U), np.ones(1, W.U)))
+    for k, x in want.items():
+        y = W.split(*W.buffer_of(pa.array([text, None, "", text[:500]])), k)
+        assert all(np.array_equal(getattr(x, f), getattr(y, f)) for f in ("start", "end", "hash", "first"))
+
+
+def test_memory_of_a_long_text():
+    """A text of 50 MB takes about a dozen times its bytes, and not forty times."""
+    code = (
+        "import resource, pyarrow as pa; from siltmill.llm import words as W; a = pa.array([('some words of it ' * 3_000_000)[:50_000_000]]);"
+        "b = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; (_, _, x), = W.runs(a, 'space'); g = W.kgrams(x.hash, 5);"
+        "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - b) / 50e3)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert float(out.stdout) < 18
