@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from siltmill.ship import ship
 
-#: A bitmap has 8 to 16 bits for each of its keys, but no more than 2 ** MOST_BITS (8 MB).
-MOST_BITS = 26
+#: A filter has 16 to 32 bits for each of its keys, but no more than 2 ** MOST_BITS (16 MB).
+MOST_BITS = 27
 _OWN: list[str] = []
 _MADE: list[str] = []
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -165,22 +165,34 @@ def columns(df: DataFrame) -> list[np.ndarray]:
 
 @dataclass
 class Bits:
-    """A bitmap of 64-bit keys by their first bits: says yes to all its keys and to few others while it isn't full."""
+    """A Bloom filter of 64-bit hashes: three probes, by rotations of a key. Says yes to all its keys and to few others while it isn't full."""
 
     words: np.ndarray
     size: int
 
     @staticmethod
     def of(df: DataFrame) -> Bits:
-        """The bitmap of the column k. Tasks send only words of it."""
-        size = min(MOST_BITS, max(10, (8 * df.count()).bit_length()))
-        place = f"shiftrightunsigned(k, {64 - size})"
-        rows = df.groupBy(F.expr(f"shiftrightunsigned(k, {70 - size})").alias("w")).agg(F.expr(f"bit_or(shiftleft(1L, cast({place} & 63 as int)))").alias("b"))
+        """The filter of the column k. Tasks send only words of it."""
+        size = min(MOST_BITS, max(10, (16 * df.count()).bit_length()))
+        turned = [f"(shiftleft(k, {r}) | shiftrightunsigned(k, {64 - r}))" if r else "k" for r in _TURNS]
+        places = df.select(F.explode(F.array(*(F.expr(f"shiftrightunsigned({k}, {64 - size})") for k in turned))).alias("p"))
+        rows = places.groupBy(F.expr("shiftrightunsigned(p, 6)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("b"))
         at, bits = columns(rows)
         words = np.zeros(1 << (size - 6), np.uint64)
         words[at] = bits.view(np.uint64)
         return Bits(words, size)
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        k = h >> np.uint64(64 - self.size)
-        return (self.words[(k >> np.uint64(6)).astype(np.int64)] >> (k & np.uint64(63)) & np.uint64(1)).astype(bool)
+        out = np.zeros(len(h), bool)
+        left = np.arange(len(h))
+        for r in _TURNS:
+            k = h[left]
+            if r:
+                k = k << np.uint64(r) | k >> np.uint64(64 - r)
+            k = k >> np.uint64(64 - self.size)
+            left = left[(self.words[(k >> np.uint64(6)).astype(np.int64)] >> (k & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        out[left] = True
+        return out
+
+
+_TURNS = (0, 21, 42)

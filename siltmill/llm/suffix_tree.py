@@ -220,8 +220,13 @@ class Tree:
     def gains(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What frequent runs add to each place, and the other runs that may have a value: their hashes and the places they end at."""
         out, rare, at = np.zeros(len(h) + 1), [np.zeros(0, W.U)], [np.zeros(0, np.int64)]
-        for run, has in runs_of(h, first, self.depth + 1 if self.depth else 0):
-            on = np.flatnonzero(has & self.bits.has(run))
+        shorter = None
+        for length, (run, has) in enumerate(runs_of(h, first, self.depth + 1 if self.depth else 0), 1):
+            # from three words on, a run with a value has a suffix with one
+            on = np.flatnonzero(has if length < 3 else has & shorter)
+            on = on[self.bits.has(run[on])]
+            shorter = np.zeros(len(h), bool)
+            shorter[on] = True
             k = _where(self.hash, run[on])
             hot = k >= 0
             out[on[hot]] += self.seen[k[hot]]
