@@ -20,8 +20,8 @@ MOST_BITS = 27
 _OWN: list[str] = []
 _MADE: list[str] = []
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Spark's defaults for the bytes of an Arrow batch.
-_SIZES = ("268435456", "268435456b", "256MB", "2147483647", "9223372036854775807")
+#: Spark's default for the bytes of an Arrow batch.
+_SIZES = ("67108864b", "67108864", "64m", "64MB")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
