@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.ship import ship
@@ -115,11 +115,18 @@ def repeats(docs: DataFrame) -> bool:
     return not n["n"] == n["m"] == n["d"]
 
 
+def one_each(docs: DataFrame) -> DataFrame:
+    """One row of each doc_id and text: the first by its other columns as JSON, so that it is the same one in every run."""
+    rest = F.to_json(F.struct(F.lit(1).alias("_"), *(F.col(c) for c in docs.columns if c not in ("doc_id", "text"))))
+    w = Window.partitionBy("doc_id", "text").orderBy(rest)
+    return docs.withColumn("__row", F.row_number().over(w)).where(F.col("__row") == 1).drop("__row")
+
+
 def once(docs: DataFrame) -> tuple[DataFrame, bool]:
     """The documents with one row of each doc_id and text, and whether a doc_id may still repeat. Nothing moves if ids are unique."""
     if not repeats(docs):
         return docs, False
-    return docs.dropDuplicates(["doc_id", "text"]), True
+    return one_each(docs), True
 
 
 def with_texts(batch: pa.RecordBatch, texts: list[str | None], changed: list[bool]) -> pa.RecordBatch:

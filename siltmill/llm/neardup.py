@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import made, prepare, remove_since, removed, repeats, separate, table, written
+from siltmill.llm.common import made, one_each, prepare, remove_since, removed, repeats, separate, table, written
 from siltmill.llm.graph import components, in_groups
 
 SHINGLE, BANDS, ROWS, BLOCK, BLOCK_SHINGLES, PIVOTS = 5, 30, 6, 256, 500_000, 8
@@ -371,7 +371,7 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = SHIN
     gone = written(found.where(~F.col("stays") | ~same_id).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "gone")
     remove_since(docs.sparkSession, mark, gone)
     left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"]) if repeats(docs) else left
+    return one_each(left) if repeats(docs) else left
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
