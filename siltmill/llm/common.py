@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN[0]
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that run within go as each ends, not when the driver happens to collect its garbage."""
+    old = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN, old)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write a table to the shared folder and read it again: later steps survive lost executors and don't compute it anew.
 
@@ -50,12 +63,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    old = spark.conf.get(_CLEAN)
-    spark.conf.set(_CLEAN, "true")
-    try:
+    with tidy(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN, old)
     _MADE.append(path)
     out = spark.read.parquet(path)
     out._siltmill_path = path

@@ -22,7 +22,9 @@ over its runs: those that make up ``HOT`` of the tokens or more meet a broadcast
 part of the table, at most 1 / HOT runs of each length, the others meet the rest
 in an equi-join and come back as one sum per document. A broadcast bitmap of
 bounded size spares runs without a value the exchange; all that it lets pass
-wrongly is dropped by the join. Counts of rare words are joined likewise.
+wrongly is dropped by the join. Counts of rare words are joined likewise. Both
+are dealt by their hashes into ``SHARES`` that are joined one after the other,
+so that the disks hold one share's exchange at a time.
 
 Words are known by 64-bit hashes, and so are runs of them. Rows whose
 crc32(doc_id as text) mod 10 is not 0 are learned from. Defined cases: a null
@@ -35,6 +37,7 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,15 +45,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltmill.llm import words as W
-from siltmill.llm.common import Bits, columns, prepare, removed, repeats, table, written
+from siltmill.llm.common import Bits, columns, made, prepare, remove_since, removed, repeats, table, tidy, written
 
 LEAST, DEPTH, FREQUENT, HOT, PRIOR, FOLDS = 4, 4, 1e-6, 3e-6, 20.0, 10
 #: Runs of words that a task tallies at once.
 TALLIED = 3_000_000
 #: Pairs of words, the most of all runs, are counted in so many passes, so that no more than that part of them is on the disks at once.
 PASSES = 2
+#: Words and runs that meet the distributed part of the model are joined in so many equal shares of their hashes; a power of two.
+SHARES = 4
 END = W.mix(np.array([0x0E4D], W.U))[0]
-_SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double, rare array<struct<h:long,n:int>>, runs array<struct<h:long,n:int>>"
+_WORDS, _RUNS = ([f"{c}{k}" for k in range(SHARES)] for c in ("words", "runs"))
+_SCORED = "doc_id long, text_key long, held_out boolean, n_tokens long, known long, base double, added double" + "".join(f", {c} array<struct<h:long,n:int>>" for c in _WORDS + _RUNS)
 
 
 def tokens(x: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +251,7 @@ def held_out():
 
 
 def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth: int | None = DEPTH, fewest: int = LEAST) -> list[tuple[DataFrame, DataFrame]]:
-    """For each length of contexts up to the longest with a state: the tokens after states (k, n, p, before, shorter), and the states (before, size, rest).
+    """For each length of contexts up to the longest with a state: the tokens after states (k, n, p, seen), and the states (before, size, rest).
 
     A run that comes ``fewest`` times has its first and its last words so often,
     so runs are only counted where bitmaps of shorter ones have both.
@@ -254,17 +260,23 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth:
     known = counts.where(F.col("n") >= fewest).select("k", "n", ((F.col("n") + 0.1) / (total + 0.1 * (distinct + 1))).alias("p"))
     shorter = known.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
     levels: list[tuple[DataFrame, DataFrame]] = []
+    before = None  # the table that known reads, from the second length on
     while depth is None or len(levels) < depth:
-        bits = Bits.of(known), Bits.of(shorter.select(F.col("last").alias("k")))
+        with tidy(spark):
+            bits = Bits.of(known), Bits.of(shorter.select(F.col("last").alias("k")))
         held = spark.sparkContext.broadcast(bits)
         of = 1 if levels else PASSES
-        counted = None
+        parts = []
         for part in range(of):
             rows = texts.mapInArrow(_pairs(held, len(levels) + 2, part, of), "before long, last long, n long").groupBy("before", "last").agg(F.sum("n").alias("n")).where(F.col("n") >= fewest)
-            rows = written(rows, "counted")
-            counted = rows if counted is None else counted.union(rows)
-        sized = counted.mapInArrow(_keyed, "k long, before long, last long, n long").join(known.select(F.col("k").alias("before"), F.col("n").alias("size")), "before").join(shorter, "last")
-        pairs = written(sized.select("k", "before", "n", "size", "shorter"), "pairs").withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
+            parts.append(written(rows, "counted"))
+        counted = reduce(DataFrame.union, parts)
+        sized = counted.join(known.select(F.col("k").alias("before"), F.col("n").alias("size")), "before").join(shorter, "last")
+        keyed = sized.select("before", "last", "n", "size", "shorter").mapInArrow(_keyed, "k long, before long, last long, n long, size long, shorter double")
+        own = written(keyed.drop("last"), "pairs")
+        removed(*parts, *([before] if before else []))
+        before = own
+        pairs = own.withColumn("p", (F.col("n") + PRIOR * F.col("shorter")) / (F.col("size") + PRIOR))
         held.unpersist()
         raw, left = F.col("n") / F.col("size"), F.greatest(1 - F.col("shorter_sum"), F.lit(1e-12))
         states = pairs.groupBy("before").agg(
@@ -276,10 +288,13 @@ def grow(texts: DataFrame, counts: DataFrame, total: int, distinct: int, depth:
         rest = F.log10(F.greatest(1 - F.col("p_sum"), F.lit(1e-12)) / left)
         states = written(states.where(passed).select("before", "size", rest.alias("rest")), "states")
         if not states.take(1):
-            return levels
-        after = written(pairs.join(states.select("before", "rest"), "before").select("k", "n", "p", "before", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen")), "after")
+            removed(states)
+            break
+        after = written(pairs.join(states.select("before", "rest"), "before").select("k", "n", "p", (F.log10(F.col("p") / F.col("shorter")) - F.col("rest")).alias("seen")), "after")
         levels.append((after, states))
         known, shorter = pairs.select("k", "n"), after.select(F.col("k").alias("last"), F.col("p").alias("shorter"))
+    if before:
+        removed(before)
     return levels
 
 
@@ -305,7 +320,8 @@ def model(training: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST) -
     h, seen, rest = columns(values.where(F.col("n") >= least).select("k", "seen", "rest"))
     h = h.view(W.U)
     order = np.argsort(h)
-    tree = Tree(vocabulary, h[order], seen[order], rest[order], Bits.of(values), len(levels))
+    with tidy(spark):
+        tree = Tree(vocabulary, h[order], seen[order], rest[order], Bits.of(values), len(levels))
     for pair in levels:
         removed(*pair)
     return tree, counts, values.where(F.col("n") < least).select("k", (F.col("seen") + F.col("rest")).alias("v"))
@@ -338,7 +354,7 @@ def _scored(held):
         logs = v.log_root(v.count)
         for batch in batches:
             cols: list[list] = [[], [], [], []]
-            words, runs = [], []
+            lists: list[list] = [[] for _ in _WORDS + _RUNS]
             for _, _, x in W.runs(batch.column("text"), "space"):
                 h, first = tokens(x)
                 ids = v.find(h)
@@ -350,11 +366,15 @@ def _scored(held):
                 cols[1].append(np.bincount(text_of[known], minlength=n))
                 cols[2].append(np.bincount(text_of[known], logs[ids[known]], n) if len(logs) else np.zeros(n))
                 cols[3].append(np.bincount(text_of, gain, n))
-                words.append(_sums(text_of[~known], h[~known], n))
-                runs.append(_sums(text_of[at], rare, n))
+                own, key = np.concatenate([text_of[~known], text_of[at]]), np.concatenate([h[~known], rare])
+                share = (key & W.U(SHARES - 1)).astype(np.int64)
+                share[len(key) - len(rare) :] += SHARES
+                for k, part in enumerate(lists):
+                    mine = share == k
+                    part.append(_sums(own[mine], key[mine], n))
             flat = [np.concatenate(c) if c else np.zeros(0, k) for c, k in zip(cols, (np.int64, np.int64, float, float), strict=True)]
             keep = [batch.column(k) for k in ("doc_id", "text_key", "held_out")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2]), pa.array(flat[3]), _lists(words), _lists(runs)], names=["doc_id", "text_key", "held_out", "n_tokens", "known", "base", "added", "rare", "runs"])
+            yield pa.RecordBatch.from_arrays([*keep, pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2]), pa.array(flat[3]), *map(_lists, lists)], names=["doc_id", "text_key", "held_out", "n_tokens", "known", "base", "added", *_WORDS, *_RUNS])
 
     return scored
 
@@ -362,8 +382,10 @@ def _scored(held):
 def score_texts(docs: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST) -> DataFrame:
     """One row per document row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = prepare(docs)
+    mark = made()
     docs = docs.select("doc_id", "text")
-    again = repeats(docs)
+    with tidy(spark):
+        again = repeats(docs)
     tree, counts, values = model(docs.where(~held_out()), depth, fewest)
     v = tree.vocabulary
     held = spark.sparkContext.broadcast(tree)
@@ -371,16 +393,25 @@ def score_texts(docs: DataFrame, depth: int | None = DEPTH, fewest: int = LEAST)
     distinct = rows.dropDuplicates(["doc_id", "text"]) if again else rows
     scored = written(distinct.select("doc_id", "text_key", "held_out", "text").mapInArrow(_scored(held), _SCORED), "scored")
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    rare = scored.select(key.alias("id"), "text_key", F.explode("rare").alias("r")).select("id", "text_key", F.col("r.h").alias("k"), F.col("r.n").alias("m"))
     base = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / (v.total + 0.1 * (v.distinct + 1)))
     least = max(1, FREQUENT * v.total)
-    sums = rare.join(counts.where(F.col("n") < least), "k", "left").groupBy("id", "text_key").agg(F.sum(F.col("m") * base).alias("rare_base"), F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0)).alias("rare_known"))
-    sums = written(sums, "sums")  # one by one, so that the two shuffles aren't on the disks together
-    runs = scored.select(key.alias("id"), "text_key", F.explode("runs").alias("r")).select("id", "text_key", F.col("r.h").alias("k"), F.col("r.n").alias("m"))
-    gains = runs.join(values, "k").groupBy("id", "text_key").agg(F.sum(F.col("m") * F.col("v")).alias("rare_added"))
-    gains = written(gains, "gains")
-    out = scored.drop("rare", "runs")
-    for found in (sums, gains):
+
+    def joined(names: list[str], found: DataFrame, how: str, tag: str, **sums) -> tuple[list[DataFrame], DataFrame]:
+        """The sums by document over the lists ``names``, joined share by share and so not on the disks together: their tables, and all in one."""
+        parts = []
+        for share, name in enumerate(names):
+            mine = scored.select(key.alias("id"), "text_key", F.explode(name).alias("r")).select("id", "text_key", F.col("r.h").alias("k"), F.col("r.n").alias("m"))
+            own = found.where(F.col("k").bitwiseAND(F.lit(SHARES - 1)) == share)
+            parts.append(written(mine.join(own, "k", how).groupBy("id", "text_key").agg(*(c.alias(a) for a, c in sums.items())), tag))
+        return parts, reduce(DataFrame.union, parts).groupBy("id", "text_key").agg(*(F.sum(a).alias(a) for a in sums))
+
+    known = F.sum(F.when(F.col("n") > 0, F.col("m")).otherwise(0))
+    kept, rare = joined(_WORDS, counts.where(F.col("n") < least), "left", "sums", rare_base=F.sum(F.col("m") * base), rare_known=known)
+    removed(counts)
+    more, gains = joined(_RUNS, values, "inner", "gains", rare_added=F.sum(F.col("m") * F.col("v")))
+    remove_since(spark, mark, scored, *kept, *more)
+    out = scored.drop(*_WORDS, *_RUNS)
+    for found in (rare, gains):
         found = found.withColumnRenamed("text_key", "sum_key")
         out = out.join(found, (key == F.col("id")) & (F.col("text_key") == F.col("sum_key")), "left").drop("id", "sum_key")
     score = F.col("base") + F.coalesce("rare_base", F.lit(0.0))

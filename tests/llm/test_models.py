@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -155,6 +156,33 @@ def test_tree_like_brute_force(make):
         assert abs(sum(prob(context, w) for w in vocabulary) + unknown * lost - 1) < 1e-6
 
 
+def test_tree_joined_in_shares(spark, make, monkeypatch):
+    """Rare words and runs come from joins, share by share: the scores are the plain tree's, no share is empty or all, and at the end
+    only tables that the result reads are left."""
+    rows = [(i, t) for i, (_, t) in enumerate(corpus(8))] * 2
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    tables, real = [], suffix_tree.written
+
+    def written(df, tag):
+        tables.append((tag, real(df, tag)))
+        return tables[-1][1]
+
+    monkeypatch.setattr(suffix_tree, "written", written)
+    monkeypatch.setattr(suffix_tree, "HOT", 1.0)
+    monkeypatch.setattr(suffix_tree, "FREQUENT", 0.01)
+    out = suffix_tree.score_texts(make(rows), fewest=2)
+    tree = brute_tree([t for i, t in rows if crc(i, 10)], 4)
+    got = {r.doc_id: r for r in out.collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert abs(got[i].score - brute_score(tree, t, 4)) < 1e-6 * max(1, abs(got[i].score)), i
+    shares = Counter(tag for tag, _ in tables)
+    assert shares["sums"] == shares["gains"] == suffix_tree.SHARES > 1
+    left = [tag for tag, t in tables if os.path.isdir(t._siltmill_path.removeprefix("file:"))]
+    assert Counter(left) == {"scored": 1, "sums": suffix_tree.SHARES, "gains": suffix_tree.SHARES}
+    assert all(t.count() for tag, t in tables if tag in ("sums", "gains"))
+
+
 # ---- language
 
 
