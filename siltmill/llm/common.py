@@ -15,15 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltmill.ship import ship
+from siltmill import ship
 
 #: A filter has 16 to 32 bits for each of its keys, but no more than 2 ** MOST_BITS (16 MB).
 MOST_BITS = 27
 _OWN: list[str] = []
 _MADE: list[str] = []
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: Spark's default for the bytes of an Arrow batch.
-_SIZES = ("67108864b", "67108864", "64m", "64MB")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,18 +97,9 @@ def removed(*tables: DataFrame) -> None:
 
 
 def prepare(df: DataFrame) -> SparkSession:
-    """Make the package known to the executors, and bound Arrow's batches of texts where their limits are still Spark's defaults.
-
-    A batch has at most 2,000 rows and about 8 MB, so that neither a task's buffers nor its Python worker grow with the
-    lengths of texts. A session that sets its own limits keeps them.
-    """
-    spark, rows, size = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
-    ship(spark)
-    if spark.conf.get(rows) == "10000":
-        spark.conf.set(rows, "2000")
-    if spark.conf.get(size) in _SIZES:
-        spark.conf.set(size, "8m")
-    return spark
+    """The session of a table, with the package on the executors and Arrow's batches bounded."""
+    ship.prepare(df.sparkSession)
+    return df.sparkSession
 
 
 def parts_for(spark: SparkSession, n_bytes: float, each: float = 32e6) -> int:

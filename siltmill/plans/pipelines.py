@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from siltmill.functions import pytext, text, urls
 from siltmill.functions.regex import MYANMAR
 from siltmill.operators import extract, relational
-from siltmill.ship import ship
+from siltmill.ship import prepare
 from siltmill.sources.config import CLEANING_DEFAULTS
 from siltmill.sources.io import parse_records
 
@@ -58,7 +58,7 @@ def clean_corpus(lines: DataFrame, config: DataFrame, site: str | None = None, s
     step is marked so that the gate's filter isn't moved below it, where it
     would be computed a second time.
     """
-    ship(lines.sparkSession)
+    prepare(lines.sparkSession)
     rows, rejects = parse_records(lines.where(F.col("site") == site) if site else lines)
     rows = rows.select("site", "place", urls.article_id(F.col("url")).alias("id"), "url", "title", "raw_html_content")
     first = relational.keep_first(rows, ["site", "id"], ["place"])
@@ -84,7 +84,7 @@ def build_frontier(sites: DataFrame, pages: DataFrame, frontier: DataFrame, item
     A site has its own max_pages unless one is given for all. Null, 0 or less is
     unlimited: up to the fifth page in a row without items, and page 1600.
     """
-    ship(sites.sparkSession)
+    prepare(sites.sparkSession)
     own = F.col("max_pages") if "max_pages" in sites.columns else F.lit(None)
     settings = sites.select("site", "pagination_type", "pagination_param", F.coalesce("pagination_increment", F.lit(1)).alias("increment"), F.coalesce(F.lit(max_pages or None).cast("long"), own.cast("long"), F.lit(0)).alias("most"))
     cats = relational.categories(sites).join(settings, "site").withColumn("unlimited", F.col("most") <= 0)
@@ -106,7 +106,7 @@ def build_frontier(sites: DataFrame, pages: DataFrame, frontier: DataFrame, item
 
 def fetch_articles(frontier: DataFrame, pages: DataFrame, stored_ids: DataFrame, content_selector: str, today: Column | None = None) -> DataFrame:
     """Article records of frontier URLs that aren't stored yet and whose page has the content. Stored ones leave before pages are joined."""
-    ship(frontier.sparkSession)
+    prepare(frontier.sparkSession)
     wanted = frontier.select("url", *(c for c in frontier.columns if c == "thumbnail_url")).dropDuplicates(["url"]).withColumn("id", urls.article_id(F.col("url")))
     if "thumbnail_url" not in wanted.columns:
         wanted = wanted.withColumn("thumbnail_url", F.lit(None).cast("string"))

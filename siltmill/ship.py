@@ -1,4 +1,4 @@
-"""Makes this package importable on the executors.
+"""Makes this package importable on the executors, and bounds what their Python workers hold.
 
 Functions handed to mapInArrow and the like are pickled by reference, so
 every Python worker has to import the package. On a cluster the driver's
@@ -14,6 +14,8 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _SENT: set[str] = set()
+#: Spark's default for the bytes of an Arrow batch.
+_SIZES = ("67108864b", "67108864", "64m", "64MB")
 
 
 def ship(spark: SparkSession) -> None:
@@ -31,3 +33,17 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.join("siltmill", os.path.relpath(full, root)))
     sc.addPyFile(path)
     _SENT.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package known to the executors, and bound Arrow's batches of texts where their limits are still Spark's defaults.
+
+    A batch has at most 2,000 rows and about 8 MB, so that neither a task's buffers nor its Python worker grow with the
+    lengths of texts. A session that sets its own limits keeps them.
+    """
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    ship(spark)
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, "2000")
+    if spark.conf.get(size) in _SIZES:
+        spark.conf.set(size, "8m")

@@ -93,6 +93,40 @@ def test_attach_with_shared_urls(spark, tmp_path):
     assert {r.thumbnail_url for r in relational.attach(p, p).collect()} == {"http://t/1"}
 
 
+@pytest.mark.parametrize("name", ["f21_normal_format"])
+def test_python_steps_take_bounded_batches(spark, name):
+    """A query's Arrow batches have at most 2,000 rows and about 8 MB, unless the session has limits of its own."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType
+
+    @F.pandas_udf(LongType())
+    def held(s):
+        return s * 0 + s.sum()
+
+    new = spark.newSession()
+    catalog.QUERIES[name](new, DIR)
+    assert new.range(0, 5000, 1, 1).select(held(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] <= 2000
+    wide = F.pandas_udf(lambda s: s.str.len() * 0 + s.str.len().sum(), LongType())
+    assert new.range(0, 40, 1, 1).select(wide(F.repeat(F.col("id").cast("string"), 1_000_000)).alias("n")).agg(F.max("n")).first()[0] <= 10_000_000
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3000")
+    catalog.QUERIES[name](own, DIR)
+    assert own.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "3000"
+
+
+def test_normal_format_is_its_steps(spark):
+    """One crossing gives what the three steps give as columns."""
+    from pyspark.sql import functions as F
+
+    from siltmill.functions import pytext, regex, text
+
+    texts = ["", " ", "a\tb\n\n\nc", "★ a\u00a0&nbsp; b\t", "漢字 \u3000 x&#8230;&amp;lt;", "\u2003\u2003\u2003\u2003x   y", "\x1c\x85 z😀  °", None]
+    t = F.col("t")
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    got = df.select(pytext.normal_format(t).alias("a"), regex.strip(text.normal_spacing(text.remove_pictures(pytext.decode_entities(t)))).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and got[-1].a is None
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 
