@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from siltmill.functions.regex import DIGIT, WS, Rule, apply, strip
+from siltmill.functions.regex import DIGIT, WS, Rule, apply, let, strip
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 _HOST = _SCHEME + r"//([^/?#]*)"
@@ -129,17 +130,39 @@ def looks_like_date(text: Column) -> Column:
 _DAYS = "yyyy-MM-dd yyyy/MM/dd MM/dd/yyyy MM-dd-yyyy".split()
 _NAMED = ["MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy"]
 _DATE_FORMATS = [f"yyyy-MM-dd'T'{t}" for t in ("HH:mm:ss", "HH:mm")] + [d + t for d in _DAYS + _NAMED for t in ("", " HH:mm:ss", " HH:mm")]
+#: What the letters of a format take at most; months by name hold no digits.
+_LETTERS = {"yyyy": "[+-]?[0-9]{4,19}", "MMMM": "[^0-9]+", "MMM": "[^0-9]+", "d": "[+-]?[0-9]{1,19}", "'T'": "[Tt]"} | dict.fromkeys(("MM", "dd", "HH", "mm", "ss"), "[0-9]{2}")
+#: A pattern for each format of all texts that it parses, and of some that it doesn't; and one of all that any format parses.
+_FORMS = {f: "^" + "".join(_LETTERS.get(p, p) for p in re.findall("y+|M+|d+|H+|m+|s+|'T'|.", f)) + "$" for f in _DATE_FORMATS}
+_ANY_FORM = "^[+-]?[0-9]+[-/][0-9]{2}[-/]|^[+-]?[0-9]+ [^0-9]+[0-9]{4}|^[^0-9]+[0-9]+,? [+-]?[0-9]{4}"
+
+
+def _timestamp(text: Column) -> Column:
+    """The time by the first format that parses a text. Formats are tried on texts of their form only, as a parser that fails
+    throws an exception, which takes far longer than the look at the form."""
+    tried = F.coalesce(*(F.when(text.rlike(_FORMS[f]), F.try_to_timestamp(text, F.lit(f))) for f in _DATE_FORMATS))
+    return F.when(text.rlike(_ANY_FORM), tried)
 
 
 def normal_date(text: Column) -> Column:
     """ISO form of a date or time that a text is (months by name, US order, a weekday before it, fractions of seconds, zones as offsets); else the text without spare white space."""
-    s = collapse_spaces(text)
     parts = rf"^(?:[A-Za-z]{{3,9}}, )?(.*?)(?:(?<=:{DIGIT}{{2}})\.({DIGIT}{{1,6}}){DIGIT}*)?(?: ?(?<=[0-9 ])(Z|UTC|GMT|(?<=:[0-9]{{2}}.{{0,9}})[+-]{DIGIT}{{2}}:?{DIGIT}{{2}}))?$"
-    base, fraction, zone = (F.regexp_extract(s, parts, k) for k in (1, 2, 3))
-    found = F.date_format(F.coalesce(*(F.try_to_timestamp(base, F.lit(f)) for f in _DATE_FORMATS)), "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.when(F.translate(fraction, "0", "") != "", F.concat(F.lit("."), F.rpad(fraction, 6, "0"))).otherwise("")
-    offset = F.when(zone == "", "").when(zone.isin("Z", "UTC", "GMT"), "+00:00").otherwise(F.regexp_replace(zone, r"^(.\d\d):?(\d\d)$", "$1:$2"))
-    return F.coalesce(F.concat(found, micros, offset), s)
+
+    def behind(s: Column) -> Column:
+        """Microseconds and offset."""
+        fraction = let(F.regexp_extract(s, parts, 2), lambda x: F.when(F.translate(x, "0", "") != "", F.concat(F.lit("."), F.rpad(x, 6, "0"))).otherwise(""))
+        zone = let(F.regexp_extract(s, parts, 3), lambda x: F.when(x == "", "").when(x.isin("Z", "UTC", "GMT"), "+00:00").otherwise(F.regexp_replace(x, r"^(.\d\d):?(\d\d)$", "$1:$2")))
+        return F.concat(fraction, zone)
+
+    def read(s: Column) -> Column:
+        # what stands behind a time has a colon before it, a zone behind a date a letter at its end; every format has a year of four digits
+        more = s.rlike(":|[ZCT]$")
+        base = F.when(more, F.regexp_extract(s, parts, 1)).otherwise(F.regexp_replace(s, "^[A-Za-z]{3,9}, ", ""))
+        found = F.date_format(let(base, _timestamp), "yyyy-MM-dd'T'HH:mm:ss")
+        whole = let(found, lambda x: F.when(x.isNull(), s).when(more, F.concat(x, behind(s))).otherwise(x))
+        return F.when(s.rlike("[0-9]{4}"), whole).otherwise(s)
+
+    return let(collapse_spaces(text), read)
 
 
 def now_utc() -> Column:

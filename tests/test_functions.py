@@ -85,6 +85,17 @@ def test_normal_dates(spark):
     assert {r.s: r.v for r in df.collect()} == cases
 
 
+def test_dates_try_few_formats(spark):
+    """A format is tried on texts of its form, which are all that it parses; on a text that is no date none is."""
+    for texts, most in ((["1-URGENT", "no date", "", "24/7"], 0), (["05/06/2024", "2024-05-06T07:08", "05-06-2024 07:08:09", "6 May 2024", "May 6, 2024"], 2)):
+        assert all(sum(bool(re.search(p, t)) for p in urls._FORMS.values()) <= most for t in texts)
+    for f, p in urls._FORMS.items():
+        t = spark.sql("SELECT timestamp'2024-09-16 07:08:09' AS t").select(F.date_format("t", f)).first()[0]
+        assert re.search(p, t) and re.search(urls._ANY_FORM, t), f
+    cases = {"Monday, SEPTEMBER 06, 2024 07:08": "2024-09-06T07:08:00", "06 sep 2024 UTC": "2024-09-06T00:00:00+00:00", "+12024-05-06": "+12024-05-06T00:00:00", "02/30/2024": "02/30/2024", "2024-05-06t07:08Z": "2024-05-06T07:08:00+00:00"}
+    assert values(spark, urls.normal_date, list(cases)) == list(cases.values())
+
+
 def test_one_step_like_the_steps(spark):
     """The chain in one Arrow step against the single steps as columns."""
     texts = [
