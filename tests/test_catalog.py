@@ -93,7 +93,7 @@ def test_attach_with_shared_urls(spark, tmp_path):
     assert {r.thumbnail_url for r in relational.attach(p, p).collect()} == {"http://t/1"}
 
 
-@pytest.mark.parametrize("name", ["f21_normal_format", "f15_fractions"])
+@pytest.mark.parametrize("name", ["f21_normal_format", "f15_fractions", "f14_tables"])
 def test_python_steps_take_bounded_batches(spark, name):
     """A query's Arrow batches have at most 2,000 rows and about 8 MB, unless the session has limits of its own."""
     from pyspark.sql import functions as F
